@@ -27,8 +27,17 @@ BINS = 4096
 _ALL = "__all"
 
 
+def attach_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """Add a one-row frame to every row as a struct column, through one scalar subquery."""
+    return df.withColumn(name, one_row.select(F.struct(*one_row.columns).alias("row")).scalar())
+
+
 def scalars(one_row: DataFrame) -> dict[str, Column]:
-    """The columns of a one-row frame as scalar-subquery columns for other plans."""
+    """The columns of a one-row frame as scalar-subquery columns.
+
+    Each use repeats the subquery in the plan (Spark runs it once); for many
+    uses over a large plan take ``attach_row``.
+    """
     packed = one_row.select(F.struct(*one_row.columns).alias("row")).scalar()
     return {name: packed.getField(name) for name in one_row.columns}
 

@@ -44,7 +44,7 @@ def source_bytes(df: DataFrame) -> int:
     Joins here are N:1, so the leaves bound the row count, while Spark's own
     estimate for a join multiplies both sides.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
     total = 0
     while leaves.hasNext():
         total += int(leaves.next().stats().sizeInBytes())
