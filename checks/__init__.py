@@ -1,6 +1,7 @@
 """Registered queries and the SQL each one is compared with."""
 
 import checks.relational  # noqa: F401
+import checks.profiling  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
