@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
 from basketry.functions.numeric import finite_or_zero
-from basketry.operators.quantile import attach_row, scalars
+from basketry.operators.quantile import scalars
 
 MAX_LEVELS = 1000
 
@@ -46,6 +46,10 @@ def one_hot(levels: Mapping[str, Sequence[str]]) -> dict[str, Column]:
 def fit_target_encoding(train: DataFrame, columns: Sequence[str], target: str,
                         smoothing: float = fv.TARGET_SMOOTHING) -> DataFrame:
     """(column, category, encoded): smoothed target means; the null category is the global mean."""
+    fallback = train.agg(F.avg(target).alias("encoded")).select(
+        F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("category"), "encoded")
+    if not columns:
+        return fallback
     texts = [F.col(c).cast("string").alias(c) for c in columns]
     long = train.select(F.col(target).alias("y"), *texts).unpivot(
         ["y"], list(columns), "column", "category")
@@ -54,8 +58,6 @@ def fit_target_encoding(train: DataFrame, columns: Sequence[str], target: str,
         F.sum("y").alias("total"), F.count("y").alias("n"))
     fitted = groups.select("column", "category",
                            ((F.col("total") + smoothing * overall) / (F.col("n") + smoothing)).alias("encoded"))
-    fallback = train.agg(F.avg(target).alias("encoded")).select(
-        F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("category"), "encoded")
     return fitted.unionByName(fallback)
 
 
@@ -71,18 +73,20 @@ def apply_target_encoding(df: DataFrame, columns: Sequence[str], encoding: DataF
 
 
 def fit_scaling(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: mean and population deviation per column, null and infinity counted as 0."""
-    stats = []
-    for c in columns:
-        value = finite_or_zero(c)
-        stats += [F.avg(value).alias(f"{c}__mean"), F.stddev_pop(value).alias(f"{c}__std")]
-    return train.agg(*stats)
+    """(feature, mean, std): population deviation, null and infinity counted as 0."""
+    zeroed = train.select(*[finite_or_zero(c).alias(c) for c in columns])
+    return zeroed.unpivot([], list(columns), "feature", "value").groupBy("feature").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
 def scale(df: DataFrame, columns: Sequence[str], scaling: DataFrame) -> DataFrame:
-    """Standardise columns in place; a constant column is only centred."""
+    """Standardise columns in place; a constant column is only centred.
+
+    The scaling table has one row per column, so its values become literals.
+    """
+    fitted = {r.feature: (r["mean"] or 0.0, r["std"] or 0.0) for r in scaling.collect()}
     out = {}
     for c in columns:
-        mean, std = F.col(f"__scale.{c}__mean"), F.col(f"__scale.{c}__std")
-        out[c] = (finite_or_zero(c) - mean) / F.when(std > 0, std).otherwise(1.0)
-    return attach_row(df, scaling, "__scale").withColumns(out).drop("__scale")
+        mean, std = fitted[c]
+        out[c] = (finite_or_zero(c) - F.lit(mean)) / F.lit(std if std > 0 else 1.0)
+    return df.withColumns(out)

@@ -48,23 +48,26 @@ def _columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def fill_by_type(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Fill nulls by type: numbers by median, times by mode, anything else by 'unknown'.
 
-    A large input is written to the checkpoint folder first: the fills need
-    more passes, and only columns that do hold nulls are looked at then.
+    The rows are read three times (null counts, fills, result), so they are
+    written to the checkpoint folder first. Medians and modes are computed only
+    for columns that hold nulls. Listed numbers come out as doubles.
     """
     columns = list(columns or df.columns)
-    if not fits_one_task(df):
-        df = cut_lineage(df)
-        columns = _columns_with_nulls(df, columns)
     kinds = {f.name: f.dataType for f in df.schema}
     numbers = [c for c in columns if isinstance(kinds[c], T.NumericType)]
     times = [c for c in columns if isinstance(kinds[c], _TIMES)]
-    texts = [c for c in columns if isinstance(kinds[c], T.StringType)]
-    fills = {c: F.coalesce(F.col(c), F.lit(fv.UNKNOWN)) for c in texts}
+    out = {c: F.col(c).cast("double") for c in numbers}
+    out.update({c: F.coalesce(F.col(c), F.lit(fv.UNKNOWN)) for c in columns
+                if isinstance(kinds[c], T.StringType)})
     if not numbers and not times:
-        return df.withColumns(fills)
-    fills.update({c: F.coalesce(F.col(c).cast("double"), F.col(f"__fill.{c}")) for c in numbers})
-    fills.update({c: F.coalesce(F.col(c), F.col(f"__fill.{c}")) for c in times})
-    return attach_row(df, _fill_row(df, numbers, times), "__fill").withColumns(fills).drop("__fill")
+        return df.withColumns(out)
+    df = cut_lineage(df)
+    holes = _columns_with_nulls(df, numbers + times)
+    if not holes:
+        return df.withColumns(out)
+    out.update({c: F.coalesce(out.get(c, F.col(c)), F.col(f"__fill.{c}")) for c in holes})
+    row = _fill_row(df, [c for c in numbers if c in holes], [c for c in times if c in holes])
+    return attach_row(df, row, "__fill").withColumns(out).drop("__fill")
 
 
 def _fill_row(df: DataFrame, numbers: Sequence[str], times: Sequence[str]) -> DataFrame:

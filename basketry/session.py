@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,7 +73,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder, so that later passes read it back."""
+    """Write ``df`` once as parquet in the checkpoint folder and read it back.
+
+    Later passes then scan only the columns they need, and survive lost executors.
+    Without a shared folder on a cluster the plan is returned as it is: the
+    passes then recompute it, which is slower and gives the same rows.
+    """
     if not checkpoint_dir(df.sparkSession):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder to reuse large results")
-    return df.checkpoint(eager=True)
+        warnings.warn("spark.checkpoint.dir is unset: a plan with several passes is recomputed")
+        return df
+    path = f"{checkpoint_dir(df.sparkSession)}/basketry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

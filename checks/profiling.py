@@ -10,6 +10,7 @@ from basketry.operators import encode, stats
 from basketry.operators.quantile import attach_row, quantiles
 from basketry.operators.sampling import split_label, time_split
 from basketry.plans import eda, facts, features, legacy, modeling
+from basketry.session import cut_lineage
 from checks.registry import SPLIT, query, rounded
 from checks.relational import KM, cleaned, modeling_sql
 
@@ -456,8 +457,9 @@ def _(t):
 
 
 def engineered(t):
-    return features.engineer_features(modeling.modeling_dataset(t).withColumn(
-        "target_log", F.log1p("order_value")))
+    """Engineered rows, written once: fitting and encoding read them several times."""
+    return cut_lineage(features.engineer_features(
+        modeling.modeling_dataset(t).withColumn("target_log", F.log1p("order_value"))))
 
 
 def matrix(t):

@@ -299,13 +299,13 @@ VIEWS = {
     "v_final": """
         SELECT * EXCLUDE (raw_days), coalesce(raw_days, (SELECT median(raw_days) FROM v_final_raw)) AS delivery_days
         FROM v_final_raw""",
-    # --- a formula prediction: the customer's mean order value
+    # --- formula predictions: the customer's mean value (p) and mean log value (pl)
     "v_pred": f"""
         SELECT v.order_id, o.order_purchase_timestamp, o.customer_id, v.order_value AS y,
           CAST(sum({cents('v.order_value')}) OVER (PARTITION BY o.customer_id) AS BIGINT)
             / count(*) OVER (PARTITION BY o.customer_id) / 1e2 AS p
         FROM v_kept_value v JOIN v_kept o USING (order_id)""",
-    "v_pred_log": "SELECT *, ln(1 + y) AS yl, ln(1 + p) AS pl FROM v_pred",
+    "v_pred_log": "SELECT *, ln(1 + y) AS yl, avg(ln(1 + y)) OVER (PARTITION BY customer_id) AS pl FROM v_pred",
     "v_ape": """
         SELECT *, exp(yl) - 1 AS ye, exp(pl) - 1 AS pe,
           abs(exp(yl) - exp(pl)) / greatest(abs(exp(yl) - 1), 1) * 100 AS ape,
