@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import equal_width_bin
-from basketry.operators.quantile import quantiles, scalars
+from basketry.operators.quantile import attach_row, quantiles, scalars
+from basketry.session import fits_one_task
 
 
 def adjusted_skew(x: str) -> Column:
@@ -19,11 +20,16 @@ def adjusted_skew(x: str) -> Column:
 
 def profile(df: DataFrame, x: str) -> DataFrame:
     """Count, mean, median, sample deviation, p95, p99, maximum and skew, as one row."""
-    cuts = scalars(quantiles(df, [], x, [0.5, 0.95, 0.99], ["median", "p95", "p99"]))
-    moments = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                     F.max(x).alias("max"), adjusted_skew(x).alias("skewness"))
-    return moments.select("n", "mean", cuts["median"].alias("median"), "std", cuts["p95"].alias("p95"),
-                          cuts["p99"].alias("p99"), "max", "skewness")
+    probs, names = [0.5, 0.95, 0.99], ["median", "p95", "p99"]
+    moments = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+               F.max(x).alias("max"), adjusted_skew(x).alias("skewness")]
+    order = ["n", "mean", "median", "std", "p95", "p99", "max", "skewness"]
+    if fits_one_task(df):
+        cuts = F.percentile(x, F.array(*map(F.lit, probs))).alias("cuts")
+        row = df.agg(*moments, cuts)
+        return row.withColumns({n: F.col("cuts")[i] for i, n in enumerate(names)}).select(*order)
+    row = attach_row(df.agg(*moments), quantiles(df, [], x, probs, names), "cuts")
+    return row.withColumns({n: F.col(f"cuts.{n}") for n in names}).select(*order)
 
 
 def outliers(df: DataFrame, x: str, reach: float = 3.0) -> DataFrame:
@@ -35,17 +41,18 @@ def outliers(df: DataFrame, x: str, reach: float = 3.0) -> DataFrame:
                       (F.count_if(F.col("x") > F.col("fence")) * 100.0 / F.count("*")).alias("pct_outliers"))
 
 
-def box_stats(df: DataFrame, group: str, x: str) -> DataFrame:
+def box_stats(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
     """Quartiles, whisker ends inside 1.5 IQR, and points beyond, per group."""
-    rows = df.where(F.col(group).isNotNull() & F.col(x).isNotNull()).select(group, x)
-    cuts = quantiles(rows, [group], x, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    present = F.col(x).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    rows = df.where(present).select(*keys, x)
+    cuts = quantiles(rows, keys, x, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(x).between(F.col("q1") - reach, F.col("q3") + reach)
-    return (rows.join(cuts.withColumnRenamed(group, "__group"), F.col(group) == F.col("__group"))
-            .groupBy(group, "q1", "median", "q3")
-            .agg(F.count("*").alias("n"), F.min(F.when(inside, F.col(x))).alias("whisker_low"),
-                 F.max(F.when(inside, F.col(x))).alias("whisker_high"),
-                 F.count_if(~inside).alias("n_outside")))
+    return rows.join(cuts, list(keys)).groupBy(*keys, "q1", "median", "q3").agg(
+        F.count("*").alias("n"), F.min(F.when(inside, F.col(x))).alias("whisker_low"),
+        F.max(F.when(inside, F.col(x))).alias("whisker_high"), F.count_if(~inside).alias("n_outside"))
 
 
 def histogram(df: DataFrame, x: str, bins: int = 100) -> DataFrame:

@@ -11,27 +11,36 @@ from basketry import fixed_values as fv
 from basketry.operators.quantile import attach_row, quantiles, unpivot, value_bins
 
 
-def _both(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Long form (feature, value, is_ref) of both windows; null and NaN left out."""
-    old = unpivot(reference, features).withColumn("is_ref", F.lit(True))
-    new = unpivot(current, features).withColumn("is_ref", F.lit(False))
-    return old.unionByName(new).where(F.col("value").isNotNull() & ~F.isnan("value"))
+def labelled(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """Both windows in one frame, told apart by ``is_ref``."""
+    return reference.withColumn("is_ref", F.lit(True)).unionByName(current.withColumn("is_ref", F.lit(False)))
 
 
-def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """(feature, psi): population stability over quantile bins of the reference.
+def labelled_by_time(df: DataFrame, time: str, date: str) -> DataFrame:
+    """One frame split in two windows at a date; it is read once, not once per window."""
+    return df.where(F.col(time).isNotNull()).withColumn(
+        "is_ref", F.col(time) < F.lit(date).cast("timestamp_ntz"))
+
+
+def _long(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Long form (is_ref, feature, value); null and NaN left out."""
+    return unpivot(rows, features, ["is_ref"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def psi(rows: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """(feature, psi): population stability over quantile bins of the reference rows.
 
     A value's bin is the number of inner edges not above it, so repeated edges
     give empty bins. Counts are smoothed by one per bin. The rows fold to one
     row of bin counts per feature before anything is shuffled.
     """
     names = [f"e{i}" for i in range(1, bins)]
-    edges = quantiles(unpivot(reference, features), ["feature"], "value",
+    edges = quantiles(_long(rows.where("is_ref"), features), ["feature"], "value",
                       [i / bins for i in range(1, bins)], names, copies=len(features))
-    long = _both(reference, current, features).join(edges, "feature")
+    long = _long(rows, features).join(edges, "feature")
     bin_no = sum(((F.col("value") >= F.col(e)).cast("int") for e in names), F.lit(0))
-    rows = long.select("feature", "is_ref", bin_no.alias("bin"))
-    counts = rows.groupBy("feature").agg(*[
+    placed = long.select("feature", "is_ref", bin_no.alias("bin"))
+    counts = placed.groupBy("feature").agg(*[
         F.count_if((F.col("bin") == i) & (F.col("is_ref") == side)).alias(f"{tag}{i}")
         for i in range(bins) for tag, side in (("r", True), ("c", False))])
     terms = None
@@ -54,13 +63,13 @@ def drift_report(scores: DataFrame, limit: float = fv.PSI_THRESHOLD) -> DataFram
     ).withColumns({"drift_threshold": F.lit(limit), "retrain": F.col("n_drifted") > 0})
 
 
-def ks_distance(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
+def ks_distance(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, ks): largest gap between the two cumulative distributions, exact.
 
     Distinct values carry counts; cumulative counts run inside value bins and
     are offset by the totals of the lower bins, so no task holds a feature whole.
     """
-    counts = (_both(reference, current, features).groupBy("feature", F.col("value").alias("v"))
+    counts = (_long(rows, features).groupBy("feature", F.col("value").alias("v"))
               .agg(F.count("*").alias("n"), F.count_if("is_ref").alias("r")))
     binned = value_bins(counts, ["feature"]).withColumn("c", F.col("n") - F.col("r"))
     lower = Window.partitionBy("feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,7 +12,7 @@ from basketry.functions.numeric import quantile_label
 from basketry.functions.temporal import minutes_between
 from basketry.operators.ordered import group_mode
 from basketry.operators.quantile import attach_row, median, quantiles
-from basketry.operators.stats import correlation_matrix
+from basketry.operators.stats import box_stats, correlation_matrix
 from basketry.plans import facts
 from basketry.plans.modeling import suffixed
 
@@ -53,6 +53,18 @@ def median_by_segment(df: DataFrame, segments: Sequence[str], value: str) -> Dat
     return median(long.where(F.col("level").isNotNull()), ["segment", "level"], value, "median_value")
 
 
+def segment_boxes(df: DataFrame, segments: Sequence[str], value: str) -> DataFrame:
+    """Box statistics of the value at every level of several columns, in one pass.
+
+    The order status is shown over all orders, the other segments over delivered ones.
+    """
+    long = df.select("order_status", value, *[F.col(s).alias(f"__{s}") for s in segments]).unpivot(
+        ["order_status", value], [f"__{s}" for s in segments], "segment", "level")
+    named = long.withColumn("segment", F.expr("substring(segment, 3)"))
+    shown = named.where((F.col("segment") == "order_status") | (F.col("order_status") == fv.DELIVERED))
+    return box_stats(shown, ["segment", "level"], value)
+
+
 def quartile_labels(df: DataFrame, x: str, name: str) -> DataFrame:
     """Q1..Q4 by right-closed cuts at the column's quartiles."""
     cuts = quantiles(df, [], x, [0.25, 0.5, 0.75], ["q1", "q2", "q3"])

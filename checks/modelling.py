@@ -97,7 +97,7 @@ def _(t):
 @query("residual_box", "WITH " + _BUCKETED + _box_sql("b", "bucket", "residual", "bucket").replace(", 4)", ", 3)"))
 def _(t):
     table = metrics.residual_buckets(metrics.residuals(predicted(t), "yl", "pl", ["order_id"]))
-    box = stats.box_stats(table, "bucket", "residual")
+    box = stats.box_stats(table, ["bucket"], "residual")
     return rounded(box.select(F.lit("bucket").alias("segment"), F.col("bucket").cast("string").alias("level"),
                               *box.columns[1:]), 3)
 
@@ -222,10 +222,10 @@ _DRIFT_FEATURES = ("order_value", "item_count", "freight_value", "monthly_income
 
 
 def windows(t):
-    """Feature rows before and after the split date, with one feature inflated in the second."""
-    df = eda.eda_dataset(t).select("order_id", "order_purchase_timestamp", *_DRIFT_FEATURES)
-    reference, current = time_split(df, "order_purchase_timestamp", SPLIT)
-    return reference, current.withColumn("avg_scroll", F.col("avg_scroll") * 1.5)
+    """Feature rows labelled by the split date, with one feature inflated after it."""
+    df = eda.eda_dataset(t).select("order_purchase_timestamp", *_DRIFT_FEATURES)
+    rows = drift.labelled_by_time(df, "order_purchase_timestamp", SPLIT)
+    return rows.withColumn("avg_scroll", F.col("avg_scroll") * F.when(F.col("is_ref"), 1.0).otherwise(1.5))
 
 
 def _long(where: str, avg_scroll: str) -> str:
@@ -252,7 +252,7 @@ _PSI = f"""{_DRIFT},
 
 @query("psi", f"WITH {_PSI} SELECT feature, round(psi, 6) AS psi FROM psi")
 def _(t):
-    return rounded(drift.psi(*windows(t), _DRIFT_FEATURES))
+    return rounded(drift.psi(windows(t), _DRIFT_FEATURES))
 
 
 @query("drift_report", f"""
@@ -260,7 +260,7 @@ def _(t):
       (SELECT string_agg(feature, ',' ORDER BY psi DESC, feature DESC) FROM psi) AS top_features,
       0.25e0 AS drift_threshold, count(*) FILTER (WHERE psi > 0.25) > 0 AS retrain FROM psi""")
 def _(t):
-    return rounded(drift.drift_report(drift.psi(*windows(t), _DRIFT_FEATURES)))
+    return rounded(drift.drift_report(drift.psi(windows(t), _DRIFT_FEATURES)))
 
 
 @query("retrain_decision", f"""
@@ -272,7 +272,7 @@ def _(t):
       (SELECT count(*) FROM psi WHERE psi > 0.25) > 0 OR count(*) FILTER (WHERE wape > 18) > 0 AS retrain FROM w""")
 def _(t):
     rolling = metrics.rolling_wape(predicted(t), "order_purchase_timestamp", "y", "p")
-    return drift.retrain_decision(drift.psi(*windows(t), _DRIFT_FEATURES), rolling)
+    return drift.retrain_decision(drift.psi(windows(t), _DRIFT_FEATURES), rolling)
 
 
 @query("ks_drift", f"""
@@ -282,7 +282,7 @@ def _(t):
       FROM v WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING))
     SELECT feature, round(max(abs(f - g)), 6) AS ks FROM k GROUP BY feature""")
 def _(t):
-    return rounded(drift.ks_distance(*windows(t), _DRIFT_FEATURES))
+    return rounded(drift.ks_distance(windows(t), _DRIFT_FEATURES))
 
 
 @query("psi_sampled_batch", """
@@ -297,7 +297,7 @@ def _(t):
 def _(t):
     values = facts.order_value(facts.dedup_items(t["items"])).select("order_id", "order_value")
     batch = stable_sample(values, "order_id", 5000).withColumn("order_value", F.col("order_value") * 1.1)
-    return rounded(drift.psi(values, batch, ["order_value"]))
+    return rounded(drift.psi(drift.labelled(values, batch), ["order_value"]))
 
 
 # --- models: small settings here, full ones are the defaults

@@ -75,14 +75,7 @@ def _box_sql(source: str, group: str, value: str, tag: str) -> str:
 @query("box_stats", "\n UNION ALL ".join(
     _box_sql("v_eda" if s == "order_status" else "v_delivered", s, "order_value", s) for s in _BOX_SEGMENTS))
 def _(t):
-    df = eda.eda_dataset(t)
-    out = None
-    for s in _BOX_SEGMENTS:
-        rows = df if s == "order_status" else eda.delivered(df)
-        one = stats.box_stats(rows, s, "order_value")
-        one = one.select(F.lit(s).alias("segment"), F.col(s).alias("level"), *one.columns[1:])
-        out = one if out is None else out.unionByName(one)
-    return rounded(out, 4)
+    return rounded(eda.segment_boxes(eda.eda_dataset(t), _BOX_SEGMENTS, "order_value"), 4)
 
 
 def _histogram_sql(x: str, tag: str) -> str:
@@ -450,7 +443,7 @@ def _(t):
     SELECT order_id, {_RATIO_SQL}, {_SCORES.format(saved='round(order_value * discount_amount_pct / 100, 6)')}, {_BINS},
       CAST(session_duration_seconds > d AND pages_viewed > p AS INT) AS is_high_value_session FROM v_final, m""")
 def _(t):
-    df = legacy.final_dataset(legacy.clean_sessions(t["behavioral_sessions"]), cleaned(t))
+    df = cut_lineage(legacy.final_dataset(legacy.clean_sessions(t["behavioral_sessions"]), cleaned(t)))
     out = legacy.transform(df, legacy.fit_thresholds(df))
     names = [*legacy.ratio_features(), *legacy.score_features(df.columns), *legacy.bin_features()]
     return rounded(out.select("order_id", *names, "is_high_value_session"))
