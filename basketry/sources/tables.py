@@ -8,12 +8,15 @@ from pyspark.sql import types as T
 
 from basketry.sources.schemas import BEHAVIOUR_TABLES, RAW_TABLES
 
+CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              columns: list[str] | None = None) -> DataFrame:
     """Headed CSV with declared types; only ``columns`` are parsed when given."""
-    frame = spark.read.csv(path, schema=schema, header=True, enforceSchema=False,
-                           timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    reader = spark.read.schema(schema).options(
+        header=True, enforceSchema=False, timestampNTZFormat=CSV_TIME_FORMAT)
+    frame = reader.csv(path)
     return frame.select(*columns) if columns else frame
 
 
