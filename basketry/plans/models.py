@@ -25,9 +25,15 @@ def linear(**options) -> LinearRegression:
     return LinearRegression(**_COLUMNS, regParam=0.0, standardization=False, **options)
 
 
-def ridge(n_rows: int, alpha: float = 1.0, **options) -> LinearRegression:
-    """Squared penalty ``alpha`` on the summed loss; MLlib averages, hence the division."""
-    return LinearRegression(**_COLUMNS, elasticNetParam=0.0, regParam=alpha / n_rows,
+def ridge(train: DataFrame, alpha: float = 1.0, label: str = "target_log", **options) -> LinearRegression:
+    """Squared penalty ``alpha`` on the summed loss.
+
+    MLlib averages the loss and measures it in deviations of the label, so its
+    parameter is alpha * deviation / rows; both come from one pass.
+    """
+    row = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("std")).first()
+    strength = alpha * (row["std"] or 1.0) / max(row.n, 1)
+    return LinearRegression(**_COLUMNS, elasticNetParam=0.0, regParam=strength,
                             standardization=False, **options)
 
 
@@ -54,8 +60,8 @@ def boosted_tuned(**options) -> GBTRegressor:
     return GBTRegressor(**_COLUMNS, **{"lossType": "squared", "seed": 42, **fv.TUNED_BOOSTING, **options})
 
 
-def estimators(n_rows: int, trees: dict | None = None, rounds: dict | None = None) -> dict[str, Estimator]:
-    return {"linear": linear(), "ridge": ridge(n_rows), "lasso": lasso(),
+def estimators(train: DataFrame, trees: dict | None = None, rounds: dict | None = None) -> dict[str, Estimator]:
+    return {"linear": linear(), "ridge": ridge(train), "lasso": lasso(),
             "forest": forest(**(trees or {})), "boosted": boosted(**(rounds or {}))}
 
 

@@ -333,7 +333,7 @@ def _(t):
 
 @query("fit_ridge")
 def _(t):
-    return fitted_metrics(t, "ridge", lambda train: models.ridge(train.count()))
+    return fitted_metrics(t, "ridge", lambda train: models.ridge(train))
 
 
 @query("fit_lasso")
@@ -376,7 +376,7 @@ def _(t):
     WITH {_ONE_FEATURE} SELECT round(sxy / (sxx + 1e0 / n), 4) AS slope,
       round(my - sxy / (sxx + 1e0 / n) * mx, 4) AS intercept FROM m""")
 def _(t):
-    return one_feature(t, lambda df: models.ridge(df.count()))
+    return one_feature(t, lambda df: models.ridge(df))
 
 
 @query("lasso_one_feature", f"""
@@ -389,7 +389,7 @@ def _(t):
 @query("cross_validate")
 def _(t):
     train, _ = parts(t)
-    mean, std = models.cross_validate(train, MODEL_FEATURES, models.ridge(train.count()), "order_id")
+    mean, std = models.cross_validate(train, MODEL_FEATURES, models.ridge(train), "order_id")
     return train.sparkSession.createDataFrame([("ridge", 5, mean, std)],
                                               "model string, folds int, mae_mean double, mae_std double")
 
@@ -442,7 +442,7 @@ def request_model(t):
     pre = features.fit_preprocessor(rows, SPLIT)
     columns = pre.feature_names
     matrix = pre.apply(rows, keep=["order_id", "target_log"])
-    return pre, models.assembled(columns, models.ridge(rows.count())).fit(matrix)
+    return pre, models.assembled(columns, models.ridge(matrix)).fit(matrix)
 
 
 @query("score_orders")

@@ -135,7 +135,7 @@ def test_legacy_labels_and_thresholds(spark):
 def test_models_beat_the_median_and_compare(t, spark, tmp_path):
     train, test = modelling.parts(t)
     found, rows = models.fit_and_measure(train, test, modelling.MODEL_FEATURES, {
-        "ridge": models.ridge(train.count()), "lasso": models.lasso(),
+        "ridge": models.ridge(train), "lasso": models.lasso(),
         "boosted": models.boosted(maxIter=5, maxDepth=3, stepSize=0.3)})
     scores = {r.model: r for r in rows.collect()}
     middle = train.agg(F.median("target_log").alias("m"))
@@ -155,7 +155,7 @@ def test_models_beat_the_median_and_compare(t, spark, tmp_path):
 
 def test_cross_validation_and_tuning(t):
     train, _ = modelling.parts(t)
-    mean, std = models.cross_validate(train, modelling.MODEL_FEATURES, models.ridge(train.count()), "order_id")
+    mean, std = models.cross_validate(train, modelling.MODEL_FEATURES, models.ridge(train), "order_id")
     assert 0 < std < mean
     best, mae = models.tune(train, modelling.MODEL_FEATURES, trials=2, rounds=(2, 3))
     assert set(best) >= {"maxIter", "maxDepth", "stepSize"} and mae > 0
