@@ -3,7 +3,8 @@
 Small inputs use the built-in aggregate, which keeps one group's distinct
 values in one task. Larger inputs use a distributed selection:
 
-1. collapse the rows to (group, value, count), spread over all tasks by value;
+1. collapse the rows to (group, value, count), spread over all tasks by value,
+   and store that table, since the next steps read it three times;
 2. cut each group's value range into equal bins of a monotone log scale and
    count the bins;
 3. keep only the bins that hold a wanted rank, and order just those values.
@@ -21,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import fits_one_task
+from basketry.session import broadcast_if_small, cut_lineage, fits_one_task
 
 BINS = 4096
 _ALL = "__all"
@@ -42,10 +43,6 @@ def scalars(one_row: DataFrame) -> dict[str, Column]:
     return {name: packed.getField(name) for name in one_row.columns}
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, v, n): one row per distinct value; null and NaN are left out."""
     number = F.col(value).cast("double")
@@ -53,19 +50,21 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
             .groupBy(*keys, "v").agg(F.count("*").alias("n")))
 
 
-def value_bins(counts: DataFrame, keys: Sequence[str], bins: int = BINS) -> DataFrame:
-    """Add ``bin`` (non-decreasing in ``v``) and ``total`` to a value-count table."""
+def value_bins(counts: DataFrame, keys: Sequence[str], bins: int = BINS) -> tuple[DataFrame, bool]:
+    """(binned, few): ``bin`` (non-decreasing in ``v``) and ``total`` added to a stored
+    value-count table, and whether its groups are few enough to broadcast per-group rows.
+    """
     scale = F.signum("v") * F.log1p(F.abs("v"))
     bounds = counts.groupBy(*keys).agg(
         F.min(scale).alias("low"), F.max(scale).alias("high"), F.sum("n").alias("total"))
-    renamed = bounds.withColumnsRenamed({k: f"__{k}" for k in keys})
+    bounds, few = broadcast_if_small(bounds.withColumnsRenamed({k: f"__{k}" for k in keys}))
     condition = reduce(lambda a, b: a & b,
-                       [counts[k].eqNullSafe(renamed[f"__{k}"]) for k in keys])
+                       [counts[k].eqNullSafe(bounds[f"__{k}"]) for k in keys])
     position = F.floor((scale - F.col("low")) / (F.col("high") - F.col("low")) * bins)
     bin_no = F.when(F.col("high") > F.col("low"), F.least(position, F.lit(bins - 1))).otherwise(0)
-    return (counts.join(renamed, condition)
+    return (counts.join(bounds, condition)
             .select(*keys, "v", "n", bin_no.cast("int").alias("bin"), "total",
-                    *[c for c in counts.columns if c not in {*keys, "v", "n"}]))
+                    *[c for c in counts.columns if c not in {*keys, "v", "n"}])), few
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
@@ -84,7 +83,7 @@ def _distributed(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence
                  names: Sequence[str]) -> DataFrame:
     by = list(keys) or [_ALL]
     base = df if keys else df.withColumn(_ALL, F.lit(0))
-    binned = value_bins(value_counts(base, by, value), by)
+    binned, few = value_bins(cut_lineage(value_counts(base, by, value)), by)
 
     last = F.col("total") - 1
     positions = [last * float(p) for p in probs]
@@ -99,6 +98,7 @@ def _distributed(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence
     targets = bins.where(wanted).select(
         *[F.col(k).alias(f"__{k}") for k in by], F.col("bin").alias("__bin"), "start")
 
+    targets = F.broadcast(targets) if few else targets  # at most two bins per group and quantile
     match = reduce(lambda a, b: a & b,
                    [binned[k].eqNullSafe(targets[f"__{k}"]) for k in by])
     inside = Window.partitionBy(*by, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.numeric import equal_width_bin
 from basketry.operators.quantile import attach_row, quantiles, scalars
-from basketry.session import fits_one_task
+from basketry.session import broadcast_if_small, fits_one_task
 
 
 def adjusted_skew(x: str) -> Column:
@@ -48,6 +48,8 @@ def box_stats(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
         present = present & F.col(k).isNotNull()
     rows = df.where(present).select(*keys, x)
     cuts = quantiles(rows, keys, x, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    if not fits_one_task(rows):
+        cuts, _ = broadcast_if_small(cuts)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(x).between(F.col("q1") - reach, F.col("q3") + reach)
     return rows.join(cuts, list(keys)).groupBy(*keys, "q1", "median", "q3").agg(

@@ -7,6 +7,7 @@ import uuid
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Largest input (bytes on storage, summed over the scans of a plan) for which a
 # per-group value list may live in one task. Above it the operators switch to
@@ -85,3 +86,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/basketry-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Rows up to which a lookup side may be broadcast after counting it.
+BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """The frame with a broadcast hint if it has at most ``limit`` rows, and whether it has.
+
+    The rows are counted, up to the limit. A longer frame stays as it is, and
+    Spark joins it by shuffle with skew handling.
+    """
+    small = df.limit(limit + 1).count() <= limit
+    return (F.broadcast(df) if small else df), small
