@@ -23,14 +23,14 @@ RAW_TABLES = {
         customer_id=_S, customer_unique_id=_S, customer_zip_code_prefix=_I, customer_city=_S,
         customer_state=_S),
     "products": _struct(product_id=_S, product_category_name=_S),
-    "sellers": _struct(seller_id=_S, seller_zip_code_prefix=_I, seller_city=_S, seller_state=_S),
+    "sellers": _struct(seller_id=_S, seller_zip_code_prefix=_I, seller_state=_S),
     "geolocation": _struct(
         geolocation_zip_code_prefix=_I, geolocation_lat=_D, geolocation_lng=_D,
         geolocation_city=_S, geolocation_state=_S),
     "payments": _struct(
         order_id=_S, payment_sequential=_I, payment_type=_S, payment_installments=_I,
         payment_value=_D),
-    "reviews": _struct(review_id=_S, order_id=_S, review_score=_I),
+    "reviews": _struct(order_id=_S, review_score=_I),
     "category_translation": _struct(product_category_name=_S, product_category_name_english=_S),
     "behavioral_sessions": _struct(
         order_id=_S, session_id=_S, device_type=_S, referral_channel=_S,

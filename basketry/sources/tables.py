@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.temporal import parse_time
 from basketry.sources.schemas import BEHAVIOUR_TABLES, RAW_TABLES
 
-CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             columns: list[str] | None = None) -> DataFrame:
-    """Headed CSV with declared types; only ``columns`` are parsed when given."""
-    reader = spark.read.schema(schema).options(
-        header=True, enforceSchema=False, timestampNTZFormat=CSV_TIME_FORMAT)
-    frame = reader.csv(path)
-    return frame.select(*columns) if columns else frame
+             columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Headed CSV, matched to the declared columns by name; others are not parsed.
+
+    Nothing is inferred. Text that is no time reads as null; text that is no
+    number fails. ``multi_line`` allows line breaks inside quotes, but such a
+    file cannot be split over tasks.
+    """
+    frame = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(path)
+    wanted = [f for f in schema if columns is None or f.name in columns]
+    lacking = [f.name for f in wanted if f.name not in frame.columns]
+    if lacking:
+        raise ValueError(f"{path} lacks the columns {lacking}")
+    cells = [parse_time(f.name) if isinstance(f.dataType, T.TimestampNTZType)
+             else F.col(f.name).cast(f.dataType) for f in wanted]
+    return frame.select(*[c.alias(f.name) for c, f in zip(cells, wanted)])
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -27,12 +37,19 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return frame.select(*columns) if columns else frame
 
 
-def read_commerce(spark: SparkSession, raw_dir: str, behaviour_dir: str) -> dict[str, DataFrame]:
-    """All tables of a commerce data folder: raw CSV files and behavioural parquet."""
-    tables = {name: read_csv(spark, f"{raw_dir}/{name}.csv", schema)
+def read_commerce(spark: SparkSession, raw_dir: str, behaviour_dir: str,
+                  files: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """All tables of a commerce data folder under the names the plans take.
+
+    ``files`` gives the CSV file of a table where it is not ``{table}.csv``.
+    """
+    files = files or {}
+    tables = {name: read_csv(spark, f"{raw_dir}/{files.get(name, f'{name}.csv')}", schema,
+                             multi_line=name == "reviews")
               for name, schema in RAW_TABLES.items() if name != "behavioral_sessions"}
-    tables.update({name: read_parquet(spark, f"{behaviour_dir}/{name}.parquet", schema)
-                   for name, schema in BEHAVIOUR_TABLES.items()})
+    for name, schema in BEHAVIOUR_TABLES.items():
+        key = "profile" if name == "customer_profile" else name
+        tables[key] = read_parquet(spark, f"{behaviour_dir}/{name}.parquet", schema)
     return tables
 
 
