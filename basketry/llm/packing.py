@@ -31,7 +31,7 @@ from basketry.llm.common import field, keep, with_text_columns
 SEPARATOR = 2
 RANKS = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = {"<|endoftext|>": 50256}
-ROWS_PER_RANKING = 20_000
+ROWS_PER_RANKING = 2_000
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, packing, quality
+from basketry.llm import bpe, fingerprint, langid, packing, quality, sharding, toxicity
 from basketry.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,16 +23,102 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_language_backoff")
+def _language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out("doc_id")).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @query("op2_best_fit_packing")
 def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder))
 
 
+@query("op4_pattern_grammar")
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    away = langid.held_out("doc_id", 5, 0)
+    grammar = toxicity.learn(toxicity.labelled_sample(docs, labels.where(~away)))
+    return toxicity.score(docs, grammar).select("doc_id", away.alias("held_out"), "score", "predicted", "n_clauses")
+
+
 @query("op6_tokeniser_fertility")
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder).select("doc_id", "text")).drop("text")
 
 
+_FINGERPRINT_SQL = """
+WITH sketches(doc_id, text, sketch) AS (
+    SELECT doc_id, text, CASE WHEN len(hashes) > 0 AND len(low) = 0 THEN [list_min(hashes)] ELSE low END
+    FROM (SELECT doc_id, text, hashes, list_sort(list_distinct(list_filter(hashes, lambda h: h < '2'))) AS low
+          FROM (SELECT doc_id, text, {hashes} AS hashes
+                FROM (SELECT doc_id, coalesce(text, '') AS text, {words} AS words FROM documents)))),
+pairs AS (
+    SELECT doc_id, text, sketch,
+           coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS next_text,
+           coalesce(lead(sketch) OVER (ORDER BY doc_id DESC), first_value(sketch) OVER (ORDER BY doc_id DESC)) AS next_sketch
+    FROM sketches),
+edits AS (
+    SELECT *, substr(text, 1, length(text) - length(text) // 2) || substr(next_text, 1, length(text) // 2) AS edited
+    FROM pairs),
+edited_sketches AS (
+    SELECT * REPLACE (CASE WHEN len(hashes) > 0 AND len(low) = 0 THEN [list_min(hashes)] ELSE low END AS low)
+    FROM (SELECT *, list_sort(list_distinct(list_filter(hashes, lambda h: h < '2'))) AS low
+          FROM (SELECT *, {hashes} AS hashes FROM (SELECT *, {edited_words} AS words FROM edits))))
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(sketch, '') AS fingerprint, array_to_string(low, '') AS edited_fingerprint,
+       {near_edited} AS near_edited, {near_next} AS near_next
+FROM edited_sketches"""
+
+
+def _fingerprint_sql() -> str:
+    words = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+    hashes = ("CASE WHEN len(words) = 0 THEN []::VARCHAR[] ELSE list_transform(range(1, greatest(len(words) - 4, 1) + 1), "
+              "lambda i: substr(md5(array_to_string(words[i:i + 4], ' ')), 1, 16)) END")
+    near = ("CASE WHEN greatest(len({0}), len({1})) = 0 THEN 1.0 WHEN least(len({0}), len({1})) = 0 THEN 0.0 "
+            "ELSE len(list_intersect({0}, {1}))::DOUBLE / least(len({0}), len({1})) END")
+    return _FINGERPRINT_SQL.format(
+        hashes=hashes, words=words.format("coalesce(text, '')"), edited_words=words.format("edited"),
+        near_edited=near.format("sketch", "low"), near_next=near.format("sketch", "next_sketch"))
+
+
+@query("op7_scaled_sketch", _fingerprint_sql())
+def _fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.compare_with_next(documents(spark, folder))
+
+
+# CRC-32 byte by byte over the text's hex digits, with the usual table of 256 entries made on the spot.
+_SHARDING_SQL = """
+WITH codes AS (
+    SELECT list(list_reduce(list_concat([i::UBIGINT], [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) ORDER BY i) AS code
+    FROM range(256) AS r(i)),
+sized AS (
+    SELECT doc_id, (coalesce(strlen(text), 0) + 1)::BIGINT AS size,
+           xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(coalesce(strlen(text), 0)), lambda i:
+               (instr('0123456789ABCDEF', hex(encode(text))[2 * i + 1]) * 16 + instr('0123456789ABCDEF', hex(encode(text))[2 * i + 2]) - 17)::UBIGINT)),
+               lambda c, b: xor(c // 256, code[(xor(c, b) % 256)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+    FROM documents, codes),
+placed AS (
+    SELECT *, (8 * (2 * sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size)
+               // (2 * sum(size) OVER ()))::INTEGER AS shard
+    FROM sized)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       NULL::INTEGER AS grown_shard
+FROM placed"""
+
+
+@query("op8_prefix_sum_shards", _SHARDING_SQL)
+def _shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_by_bytes(documents(spark, folder).select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op9_bpe_codec")
 def _bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder).select("doc_id", "text")).drop("text")
