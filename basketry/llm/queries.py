@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, fingerprint, langid, packing, quality, sharding, toxicity
+from basketry.llm import bpe, fingerprint, langid, licenses, packing, pii, quality, sharding, toxicity
 from basketry.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder))
 
 
+@query("op3_skip_chain_crf")
+def _personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, folder).select("doc_id", "text")).drop("text", "masked")
+
+
 @query("op4_pattern_grammar")
 def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
@@ -122,3 +127,8 @@ def _shards(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_bpe_codec")
 def _bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder).select("doc_id", "text")).drop("text")
+
+
+@query("op10_rare_word_index")
+def _licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder)).drop("matches")

@@ -28,6 +28,9 @@ LEAST_SHARE = 0.002
 LEAST_TEXTS = 4
 # Toxic texts with the word for each clean text with it, relative to the class sizes.
 LEAST_ODDS = 25.0
+# Least log-likelihood ratio of the word's spread over the classes against chance; so large that among
+# millions of rare words none is expected to pass by luck.
+LEAST_RATIO = 40.0
 SHORTEST_STEM, LONGEST_STEM = 4, 12
 
 # Fixed word lists of the grammar.
@@ -127,9 +130,12 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", least_s
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic:
         return Grammar(frozenset(), frozenset())
+    t, c = F.col("toxic"), F.col("clean")
+    seen, share = t + c, toxic / (toxic + clean)
+    ratio = 2 * (t * F.log(t / (seen * share)) + F.when(c > 0, c * F.log(c / (seen * max(1 - share, 1e-9)))).otherwise(0.0))
     counts = _class_counts(labelled, text, label).where(
-        (F.col("toxic") >= least_share * toxic)
-        & ((F.col("toxic") + 0.5) / toxic >= least_odds * (F.col("clean") + 0.5) / max(clean, 1))).collect()
+        (t >= least_share * toxic) & (ratio >= LEAST_RATIO)
+        & ((t + 0.5) / toxic >= least_odds * (c + 0.5) / max(clean, 1))).collect()
     words = {r["gram"] for r in counts if r["whole"]}
     stems: set[str] = set()  # of nested beginnings the shortest one
     for gram in sorted({r["gram"] for r in counts if not r["whole"]}, key=lambda g: (len(g), g)):
