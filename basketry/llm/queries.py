@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, fingerprint, langid, licenses, packing, pii, quality, sharding, toxicity
+from basketry.llm import bpe, fingerprint, langid, licenses, ngram_join, packing, pii, quality, sharding, toxicity
 from basketry.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, grammar).select("doc_id", away.alias("held_out"), "score", "predicted", "n_clauses")
 
 
+@query("op5_minhash_bands")
+def _near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link_classes(documents(spark, folder)).drop("node", "class_node")
+
+
 @query("op6_tokeniser_fertility")
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder).select("doc_id", "text")).drop("text")
