@@ -1,30 +1,26 @@
-"""Exact quantiles per group, with linear interpolation.
+"""Exact quantiles per group, with linear interpolation, in one form for all sizes.
 
-Small inputs use the built-in aggregate, which keeps one group's distinct
-values in one task. Larger inputs use a distributed selection:
+1. The rows fold to (group, value, count), spread over all tasks by value.
+2. A sketch of each group's distinct values gives edges between which about equally many of them lie,
+   wherever the values are: an outlier or an infinity widens no bin.
+3. Running counts over a group's few bins tell which bins hold a wanted rank, and only the values of
+   those bins are ordered.
 
-1. collapse the rows to (group, value, count), spread over all tasks by value,
-   and store that table, since the next steps read it three times;
-2. cut each group's value range into equal bins of a monotone log scale and
-   count the bins;
-3. keep only the bins that hold a wanted rank, and order just those values.
-
-Bins come from min/max arithmetic alone, so every pass assigns the same bin and
-the answer stays exact however uneven the bins are.
+A bin has at most (distinct values / bins) values and the sketch's error of a tenth of that, so no task
+orders a group whole. The sketch only sets the edges; the result is exact whatever they are. Null and
+NaN are one thing and count for nothing; a group without values has null quantiles. The plan is lazy.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import broadcast_if_small, cut_lineage, fits_one_task
-
-BINS = 4096
+LEAST_BINS = 64
+MOST_BINS = 1024
 _ALL = "__all"
 
 
@@ -43,75 +39,85 @@ def scalars(one_row: DataFrame) -> dict[str, Column]:
     return {name: packed.getField(name) for name in one_row.columns}
 
 
+def number(value: str | Column) -> Column:
+    """A column as a double, with NaN as null."""
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """(keys, v, n): one row per distinct value; null and NaN are left out."""
-    number = F.col(value).cast("double")
-    return (df.select(*keys, number.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-            .groupBy(*keys, "v").agg(F.count("*").alias("n")))
+    """(keys, v, n): one row per distinct value, and one with a null value where there are any."""
+    return df.select(*keys, number(value).alias("v")).groupBy(*keys, "v").agg(F.count("*").alias("n"))
 
 
-def value_bins(counts: DataFrame, keys: Sequence[str], bins: int = BINS) -> tuple[DataFrame, bool]:
-    """(binned, few): ``bin`` (non-decreasing in ``v``) and ``total`` added to a stored
-    value-count table, and whether its groups are few enough to broadcast per-group rows.
-    """
-    scale = F.signum("v") * F.log1p(F.abs("v"))
-    bounds = counts.groupBy(*keys).agg(
-        F.min(scale).alias("low"), F.max(scale).alias("high"), F.sum("n").alias("total"))
-    bounds, few = broadcast_if_small(bounds.withColumnsRenamed({k: f"__{k}" for k in keys}))
-    condition = reduce(lambda a, b: a & b,
-                       [counts[k].eqNullSafe(bounds[f"__{k}"]) for k in keys])
-    position = F.floor((scale - F.col("low")) / (F.col("high") - F.col("low")) * bins)
-    bin_no = F.when(F.col("high") > F.col("low"), F.least(position, F.lit(bins - 1))).otherwise(0)
-    return (counts.join(bounds, condition)
-            .select(*keys, "v", "n", bin_no.cast("int").alias("bin"), "total",
-                    *[c for c in counts.columns if c not in {*keys, "v", "n"}])), few
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], mark: str = "__") -> Column:
+    """Null-safe equality of keys, which are marked on the right side."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{mark}{k}"]) for k in keys])
+
+
+def bin_count(df: DataFrame) -> int:
+    """As many bins as the session shuffles into, within limits."""
+    return min(MOST_BINS, max(LEAST_BINS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def value_edges(counts: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
+    """(marked keys, edges, total): inner bin edges and the number of rows with a value, for every group."""
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    return counts.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+        F.array_distinct(F.percentile_approx("v", shares, F.lit(10 * bins))).alias("edges"),
+        F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("total"))
+
+
+def value_bins(counts: DataFrame, keys: Sequence[str], bins: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(binned, edges): ``bin`` (non-decreasing in ``v``) and ``total`` added to value counts without nulls."""
+    edges = value_edges(counts, keys, bins or bin_count(counts))
+    present = counts.where(F.col("v").isNotNull())
+    place = F.size(F.filter("edges", lambda e: e < F.col("v")))
+    return present.join(edges, same_keys(present, edges, keys)).select(
+        *counts.columns, place.alias("bin"), "total"), edges
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-              names: Sequence[str], copies: int = 1) -> DataFrame:
-    """Exact quantiles of ``value`` per group: keys plus one column per probability."""
-    if fits_one_task(df, copies):
-        number = F.col(value).cast("double")
-        number = F.when(~F.isnan(number), number)
-        found = F.percentile(number, F.array(*[F.lit(float(p)) for p in probs]))
-        picked = df.groupBy(*keys).agg(found.alias("__q"))
-        return picked.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-    return _distributed(df, keys, value, probs, names)
-
-
-def _distributed(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                 names: Sequence[str]) -> DataFrame:
+              names: Sequence[str]) -> DataFrame:
+    """Exact quantiles of ``value`` per group: keys plus one column per probability.
+
+    Every group comes out, with nulls if it has no value; without keys there is always one row.
+    """
     by = list(keys) or [_ALL]
-    base = df if keys else df.withColumn(_ALL, F.lit(0))
-    binned, few = value_bins(cut_lineage(value_counts(base, by, value)), by)
+    base = df if keys else df.select(value).withColumn(_ALL, F.lit(0))
+    counts = value_counts(base, by, value)
+    binned, edges = value_bins(counts, by)
 
     last = F.col("total") - 1
     positions = [last * float(p) for p in probs]
     ranks = [(F.floor(p), F.ceil(p)) for p in positions]
 
     up_to = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = binned.groupBy(*by, "bin", "total").agg(F.sum("n").alias("size"))
-    bins = bins.withColumn("end", F.sum("size").over(up_to)).withColumn(
-        "start", F.col("end") - F.col("size"))
+    sizes = binned.groupBy(*by, "bin", "total").agg(F.sum("n").alias("size"))
+    sizes = sizes.withColumn("end", F.sum("size").over(up_to)).withColumn("start", F.col("end") - F.col("size"))
     wanted = reduce(lambda a, b: a | b, [
         (F.col("start") <= r) & (r < F.col("end")) for pair in ranks for r in pair])
-    targets = bins.where(wanted).select(
+    targets = sizes.where(wanted).select(  # at most two bins per group and quantile
         *[F.col(k).alias(f"__{k}") for k in by], F.col("bin").alias("__bin"), "start")
 
-    targets = F.broadcast(targets) if few else targets  # at most two bins per group and quantile
-    match = reduce(lambda a, b: a & b,
-                   [binned[k].eqNullSafe(targets[f"__{k}"]) for k in by])
     inside = Window.partitionBy(*by, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = binned.join(targets, match & (binned["bin"] == targets["__bin"])).select(
+    ordered = binned.join(targets, same_keys(binned, targets, by) & (binned["bin"] == targets["__bin"])).select(
         *by, "v", "total", (F.sum("n").over(inside) + F.col("start")).alias("seen"))
 
-    values = []
+    found = []
     for position, (low, high), name in zip(positions, ranks, names):
         lower = F.min(F.when(F.col("seen") > low, F.col("v")))
         upper = F.min(F.when(F.col("seen") > high, F.col("v")))
         share = F.max(position - low)
-        values.append((lower + (upper - lower) * share).alias(name))
-    return ordered.groupBy(*keys).agg(*values)
+        # Equal infinities have no difference.
+        found.append(F.when((lower == upper) | (share == 0), lower).otherwise(
+            lower + (upper - lower) * share).alias(name))
+    if not keys:
+        return ordered.agg(*found)
+    values = ordered.groupBy(*keys).agg(*found)
+    groups = edges.select(*[f"__{k}" for k in keys])
+    return groups.join(values, same_keys(values, groups, keys), "left").select(
+        *[F.col(f"__{k}").alias(k) for k in keys], *names)
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -121,16 +127,9 @@ def median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFra
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                      suffixes: Sequence[str]) -> DataFrame:
     """One row with ``{column}{suffix}`` for every column and probability."""
-    names = [(c, s) for c in columns for s in suffixes]
-    if fits_one_task(df, max(1, math.ceil(len(columns) / 8))):
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        packed = df.agg(*[F.percentile(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")),
-                                       wanted).alias(c) for c in columns])
-        return packed.select(*[F.col(c)[suffixes.index(s)].alias(f"{c}{s}") for c, s in names])
-    long = unpivot(df, columns)
-    found = _distributed(long, ["feature"], "value", probs, list(suffixes))
-    return found.agg(*[
-        F.max(F.when(F.col("feature") == c, F.col(s))).alias(f"{c}{s}") for c, s in names])
+    found = quantiles(unpivot(df, columns), ["feature"], "value", probs, [f"__q{i}" for i in range(len(probs))])
+    return found.agg(*[F.max(F.when(F.col("feature") == c, F.col(f"__q{i}"))).alias(f"{c}{s}")
+                       for c in columns for i, s in enumerate(suffixes)])
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import equal_width_bin
-from basketry.operators.quantile import attach_row, quantiles, scalars
-from basketry.session import broadcast_if_small, fits_one_task
+from basketry.operators.quantile import attach_row, number, quantiles, scalars
 
 
 def adjusted_skew(x: str) -> Column:
@@ -19,15 +18,12 @@ def adjusted_skew(x: str) -> Column:
 
 
 def profile(df: DataFrame, x: str) -> DataFrame:
-    """Count, mean, median, sample deviation, p95, p99, maximum and skew, as one row."""
+    """Count, mean, median, sample deviation, p95, p99, maximum and skew, as one row; NaN is as null."""
+    df = df.select(number(x).alias(x))
     probs, names = [0.5, 0.95, 0.99], ["median", "p95", "p99"]
     moments = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                F.max(x).alias("max"), adjusted_skew(x).alias("skewness")]
     order = ["n", "mean", "median", "std", "p95", "p99", "max", "skewness"]
-    if fits_one_task(df):
-        cuts = F.percentile(x, F.array(*map(F.lit, probs))).alias("cuts")
-        row = df.agg(*moments, cuts)
-        return row.withColumns({n: F.col("cuts")[i] for i, n in enumerate(names)}).select(*order)
     row = attach_row(df.agg(*moments), quantiles(df, [], x, probs, names), "cuts")
     return row.withColumns({n: F.col(f"cuts.{n}") for n in names}).select(*order)
 
@@ -43,13 +39,11 @@ def outliers(df: DataFrame, x: str, reach: float = 3.0) -> DataFrame:
 
 def box_stats(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
     """Quartiles, whisker ends inside 1.5 IQR, and points beyond, per group."""
-    present = F.col(x).isNotNull()
+    present = number(x).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
     rows = df.where(present).select(*keys, x)
     cuts = quantiles(rows, keys, x, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    if not fits_one_task(rows):
-        cuts, _ = broadcast_if_small(cuts)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(x).between(F.col("q1") - reach, F.col("q3") + reach)
     return rows.join(cuts, list(keys)).groupBy(*keys, "q1", "median", "q3").agg(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
 from basketry.operators.quantile import attach_row, quantiles, unpivot, value_bins
-from basketry.session import cut_lineage
 
 
 def labelled(reference: DataFrame, current: DataFrame) -> DataFrame:
@@ -37,7 +36,7 @@ def psi(rows: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """
     names = [f"e{i}" for i in range(1, bins)]
     edges = quantiles(_long(rows.where("is_ref"), features), ["feature"], "value",
-                      [i / bins for i in range(1, bins)], names, copies=len(features))
+                      [i / bins for i in range(1, bins)], names)
     # One row of edges per feature: the list of features bounds it.
     long = _long(rows, features).join(F.broadcast(edges), "feature")
     bin_no = sum(((F.col("value") >= F.col(e)).cast("int") for e in names), F.lit(0))
@@ -73,7 +72,7 @@ def ks_distance(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """
     counts = (_long(rows, features).groupBy("feature", F.col("value").alias("v"))
               .agg(F.count("*").alias("n"), F.count_if("is_ref").alias("r")))
-    binned, _ = value_bins(cut_lineage(counts), ["feature"])
+    binned, _ = value_bins(counts, ["feature"])
     binned = binned.withColumn("c", F.col("n") - F.col("r"))
     lower = Window.partitionBy("feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")

@@ -10,8 +10,7 @@ from basketry.functions.labels import urban_flag
 from basketry.functions.numeric import money_mean, money_total
 from basketry.functions.temporal import calendar, whole_days
 from basketry.operators.ordered import first_per_key, order_history
-from basketry.operators.quantile import median, quantiles, scalars
-from basketry.session import fits_one_task
+from basketry.operators.quantile import median, quantiles, scalars, unpivot
 
 
 # --- cleaning -------------------------------------------------------------
@@ -93,14 +92,11 @@ def geo_centroid(geolocation: DataFrame) -> DataFrame:
     names = [F.col("row.geolocation_city").alias("geo_city"),
              F.col("row.geolocation_state").alias("geo_state")]
     rows = geolocation.where(F.col(zip_prefix).isNotNull())
-    if fits_one_task(geolocation):
-        medians = [F.percentile(f"geolocation_{axis}", 0.5).alias(f"geo_{axis}") for axis in ("lat", "lng")]
-        return rows.groupBy(zip_prefix).agg(*medians, first.alias("row")).select(
-            zip_prefix, "geo_lat", "geo_lng", *names)
-    lat = median(rows, [zip_prefix], "geolocation_lat", "geo_lat")
-    lng = median(rows, [zip_prefix], "geolocation_lng", "geo_lng")
+    long = unpivot(rows, ["geolocation_lat", "geolocation_lng"], [zip_prefix])
+    middle = median(long, [zip_prefix, "feature"], "value", "m").groupBy(zip_prefix).agg(*[
+        F.max(F.when(F.col("feature") == f"geolocation_{axis}", F.col("m"))).alias(f"geo_{axis}") for axis in ("lat", "lng")])
     places = rows.groupBy(zip_prefix).agg(first.alias("row")).select(zip_prefix, *names)
-    return places.join(lat, zip_prefix, "left").join(lng, zip_prefix, "left")
+    return places.join(middle, zip_prefix, "left")
 
 
 def customer_places(customers: DataFrame, centroids: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
 from basketry.functions.numeric import clip, right_closed_bucket
-from basketry.operators.quantile import attach_row, median
+from basketry.operators.quantile import attach_row, median, same_keys
 
 
 def _errors(df: DataFrame, truth_log: str, predicted_log: str, keys: Sequence[str]) -> DataFrame:
@@ -44,7 +44,8 @@ def regression_metrics(df: DataFrame, truth_log: str, predicted_log: str,
     moments = rows.groupBy(*keys).agg(*_metric_columns())
     middle = median(rows, keys, "ape", "medape_pct")
     if keys:
-        return moments.join(middle, list(keys))
+        marked = middle.withColumnsRenamed({k: f"__{k}" for k in keys})
+        return moments.join(marked, same_keys(moments, marked, keys), "left").drop(*[f"__{k}" for k in keys])
     return attach_row(moments, middle, "__m").withColumn("medape_pct", F.col("__m.medape_pct")).drop("__m")
 
 

@@ -15,7 +15,7 @@ from basketry.functions.temporal import minutes_between
 from basketry.operators.nulls import fill_by_type
 from basketry.operators.quantile import scalars
 from basketry.plans import facts
-from basketry.session import cut_lineage, fits_one_task
+from basketry.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,8 +30,8 @@ _ALWAYS_SET = (
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """Written once when large, since several branches of a plan read it."""
-    return df if fits_one_task(df) else cut_lineage(df)
+    """Written once, since several branches of a plan read it."""
+    return cut_lineage(df)
 
 
 def suffixed(df: DataFrame, taken: list[str], suffix: str) -> DataFrame:

@@ -134,18 +134,26 @@ def _check_rows(checks: Sequence[tuple[str, Column, Column]]) -> Column:
                               observed.cast("double").alias("observed")) for name, passed, observed in checks])
 
 
+def _failing(good: Column) -> Column:
+    """Rows that fail a condition; a null fails it."""
+    return F.count_if(~F.coalesce(good, F.lit(False)))
+
+
 def domain_checks(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Value sets, session order, quantities, spread and gender shares."""
+    """Value sets, session order, quantities, keys, events, spread and gender shares. Null fails a check."""
     profile = t["profile"].agg(
-        F.count_if(~F.col("loyalty_tier").isin(*fv.LOYALTY_TIERS)).alias("bad_tier"),
+        _failing(F.col("loyalty_tier").isin(*fv.LOYALTY_TIERS)).alias("bad_tier"),
         F.stddev_samp("monthly_income").alias("spread"),
         *[(F.count_if(F.col("gender") == g) / F.count("gender")).alias(g) for g in ("male", "female")])
     row = profile.select(F.struct(*profile.columns).alias("profile"))
     row = attach_row(row, t["sessions"].agg(
-        F.count_if(~F.col("device_type").isin(*fv.DEVICES)).alias("bad_device"),
-        F.count_if(F.col("session_end") < F.col("session_start")).alias("reversed")), "sessions")
+        _failing(F.col("device_type").isin(*fv.DEVICES)).alias("bad_device"),
+        _failing(F.col("session_end") >= F.col("session_start")).alias("reversed"),
+        _nulls("session_id", "order_id").alias("no_key")), "sessions")
     row = attach_row(row, t["session_activity"].agg(
-        F.count_if(F.col("add_to_cart_quantity") < 0).alias("negative")), "activity")
+        _failing(F.col("add_to_cart_quantity") >= 0).alias("negative")), "activity")
+    per_session = t["session_activity"].groupBy("session_id").agg(F.count("*").alias("n"))
+    row = attach_row(row, per_session.agg(F.min("n").alias("least")), "events")
     row = attach_row(row, _levels(t["profile"], "loyalty_tier", fv.LOYALTY_TIERS, "monthly_income"), "tiers")
     gap = F.col("tiers.platinum") - F.col("tiers.bronze")
     checks = [
@@ -153,6 +161,8 @@ def domain_checks(t: Mapping[str, DataFrame]) -> DataFrame:
         ("devices valid", F.col("sessions.bad_device") == 0, F.col("sessions.bad_device")),
         ("sessions end after start", F.col("sessions.reversed") == 0, F.col("sessions.reversed")),
         ("cart quantity not negative", F.col("activity.negative") == 0, F.col("activity.negative")),
+        ("session keys not null", F.col("sessions.no_key") == 0, F.col("sessions.no_key")),
+        ("enough events per session", F.col("events.least") >= MIN_EVENTS, F.col("events.least")),
         ("income varies", F.col("profile.spread") > 0, F.col("profile.spread")),
         ("male share", F.col("profile.male") > MIN_SHARE, F.col("profile.male")),
         ("female share", F.col("profile.female") > MIN_SHARE, F.col("profile.female")),

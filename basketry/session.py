@@ -1,19 +1,11 @@
-"""Session settings, input-size checks and lineage cuts."""
+"""Session settings and lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-import warnings
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest input (bytes on storage, summed over the scans of a plan) for which a
-# per-group value list may live in one task. Above it the operators switch to
-# their distributed form. Override per session with this key.
-SINGLE_TASK_BYTES_KEY = "spark.basketry.singleTaskBytes"
-SINGLE_TASK_BYTES = 32 * 1024 * 1024
 
 RUNTIME_CONFS = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,62 +33,29 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Estimated bytes read by the plan: the sum over its leaf relations.
-
-    Joins here are N:1, so the leaves bound the row count, while Spark's own
-    estimate for a join multiplies both sides.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
-    total = 0
-    while leaves.hasNext():
-        total += int(leaves.next().stats().sizeInBytes())
-    return total
-
-
-def fits_one_task(df: DataFrame, copies: int = 1) -> bool:
-    """True when ``copies`` times the plan's input stays under the one-task limit."""
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_BYTES_KEY, str(SINGLE_TASK_BYTES)))
-    return source_bytes(df) * copies <= limit
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder of the cluster; a local one only in local mode."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder of the session; a temporary one in local mode only."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and sc.master.startswith("local"):
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="basketry-checkpoint-")
-    if folder:
-        sc.setCheckpointDir(folder)
-    return folder
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as parquet in the checkpoint folder and read it back.
+    """Write ``df`` once as parquet in the checkpoint folder and read it back. Runs a Spark job.
 
-    Later passes then scan only the columns they need, and survive lost executors.
-    Without a shared folder on a cluster the plan is returned as it is: the
-    passes then recompute it, which is slower and gives the same rows.
+    Later passes then scan only the columns they need, and survive lost executors. The copy goes away
+    when the application ends.
     """
-    if not checkpoint_dir(df.sparkSession):
-        warnings.warn("spark.checkpoint.dir is unset: a plan with several passes is recomputed")
-        return df
-    path = f"{checkpoint_dir(df.sparkSession)}/basketry-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/basketry-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# Rows up to which a lookup side may be broadcast after counting it.
-BROADCAST_ROWS = 10_000
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """The frame with a broadcast hint if it has at most ``limit`` rows, and whether it has.
-
-    The rows are counted, up to the limit. A longer frame stays as it is, and
-    Spark joins it by shuffle with skew handling.
-    """
-    small = df.limit(limit + 1).count() <= limit
-    return (F.broadcast(df) if small else df), small
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)

@@ -195,18 +195,22 @@ def _(t):
 
 
 @query("domain_checks", """
-    WITH p AS (SELECT count(*) FILTER (WHERE loyalty_tier NOT IN ('bronze', 'silver', 'gold', 'platinum')) AS b,
+    WITH p AS (SELECT count(*) FILTER (WHERE (loyalty_tier IN ('bronze', 'silver', 'gold', 'platinum')) IS NOT TRUE) AS b,
         stddev_samp(monthly_income) AS s, count(*) FILTER (WHERE gender = 'male') / count(*) AS m,
         count(*) FILTER (WHERE gender = 'female') / count(*) AS f,
         median(monthly_income) FILTER (WHERE loyalty_tier = 'platinum')
           - median(monthly_income) FILTER (WHERE loyalty_tier = 'bronze') AS g FROM v_profile),
-      s AS (SELECT count(*) FILTER (WHERE device_type NOT IN ('mobile', 'desktop', 'tablet')) AS d,
-        count(*) FILTER (WHERE session_end < session_start) AS r FROM v_sessions),
+      s AS (SELECT count(*) FILTER (WHERE (device_type IN ('mobile', 'desktop', 'tablet')) IS NOT TRUE) AS d,
+        count(*) FILTER (WHERE (session_end >= session_start) IS NOT TRUE) AS r FROM v_sessions),
       x AS (SELECT 'tiers valid' AS "check", b = 0 AS passed, CAST(b AS DOUBLE) AS observed FROM p
         UNION ALL SELECT 'devices valid', d = 0, d FROM s
         UNION ALL SELECT 'sessions end after start', r = 0, r FROM s
-        UNION ALL SELECT 'cart quantity not negative', bool_and(add_to_cart_quantity >= 0),
-          count(*) FILTER (WHERE add_to_cart_quantity < 0) FROM v_session_items
+        UNION ALL SELECT 'cart quantity not negative', count(*) FILTER (WHERE (add_to_cart_quantity >= 0) IS NOT TRUE) = 0,
+          count(*) FILTER (WHERE (add_to_cart_quantity >= 0) IS NOT TRUE) FROM v_session_items
+        UNION ALL SELECT 'session keys not null', count(*) FILTER (WHERE session_id IS NULL OR order_id IS NULL) = 0,
+          count(*) FILTER (WHERE session_id IS NULL OR order_id IS NULL) FROM v_sessions
+        UNION ALL SELECT 'enough events per session', min(n) >= 5, min(n)
+          FROM (SELECT count(*) AS n FROM v_session_items GROUP BY session_id)
         UNION ALL SELECT 'income varies', s > 0, s FROM p UNION ALL SELECT 'male share', m > 0.3, m FROM p
         UNION ALL SELECT 'female share', f > 0.3, f FROM p
         UNION ALL SELECT 'top tier earns more than bottom', g > 0, g FROM p)

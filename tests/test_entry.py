@@ -6,8 +6,6 @@ from tools.compare import compare, connect
 ORACLES = {k: v for k, v in contract.oracle_sql().items() if k not in contract.CORPUS_QUERIES}
 ROWS_ONLY = {"fit_linear", "fit_ridge", "fit_lasso", "fit_forest", "fit_gbt", "cross_validate", "score_residuals",
              "feature_importance", "linear_contributions", "vif", "score_orders"}
-QUANTILE_QUERIES = ("geo_centroid", "regional_price_index", "target_profile", "median_by_segment", "box_stats",
-                    "fill_by_type", "regression_metrics", "validation_report", "psi")
 
 
 def test_every_query_has_sql_but_the_model_fits():
@@ -26,9 +24,3 @@ def test_entry_has_the_full_width(spark):
 def test_query_matches_sql(spark, data, name):
     good, note = compare(spark, connect(data), data, name, ORACLES[name])
     assert good, note
-
-
-@pytest.mark.parametrize("name", QUANTILE_QUERIES)
-def test_distributed_form_matches_sql(spark, data, distributed, name):
-    good, note = compare(spark, connect(data), data, name, ORACLES[name])
-    assert good, note

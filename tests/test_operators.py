@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketry.operators import encode, stats
 from basketry.operators.nulls import fill_by_type, fill_median, null_profile
 from basketry.operators.ordered import first_per_key, group_mode, lag_in_key, order_history, running_total
-from basketry.operators.quantile import column_quantiles, median, quantiles
+from basketry.operators.quantile import column_quantiles, median, quantiles, value_bins, value_counts
 from basketry.operators.sampling import fold_number, split_label, stable_sample, time_split
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -29,7 +29,7 @@ def random_rows(n, seed=7):
     return rows
 
 
-def test_distributed_quantiles_match_numpy(spark, distributed):
+def test_distributed_quantiles_match_numpy(spark):
     rows = random_rows(3000)
     df = spark.createDataFrame(rows, "id int, k string, v double")
     found = {r.k: r for r in quantiles(df, ["k"], "v", PROBS, NAMES).collect()}
@@ -40,22 +40,34 @@ def test_distributed_quantiles_match_numpy(spark, distributed):
             assert found[key][name] == pytest.approx(np.quantile(values, p), rel=1e-9, abs=1e-9)
 
 
-def test_both_quantile_forms_agree(spark, distributed):
-    df = spark.createDataFrame(random_rows(500), "id int, k string, v double")
-    spread = quantiles(df, [], "v", PROBS, NAMES).collect()
-    spark.conf.set("spark.basketry.singleTaskBytes", str(1 << 40))
-    builtin = quantiles(df, [], "v", PROBS, NAMES).collect()
-    assert list(spread[0]) == pytest.approx(list(builtin[0]))
+@pytest.mark.parametrize("values", [
+    [float(i) for i in range(5000)] + [1e18], [1e6 + i / 5000 for i in range(5000)] + [0.0],
+    [float(i) for i in range(5000)] + [float("inf"), float("-inf")], [7.0] * 4000 + [float(i) for i in range(1000)]])
+def test_no_bin_holds_most_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").withColumn("k", F.lit("all"))
+    binned, _ = value_bins(value_counts(df, ["k"], "v"), ["k"], 64)
+    sizes = [r["count"] for r in binned.groupBy("bin").count().collect()]
+    assert sum(sizes) == len(set(values)) and max(sizes) <= 3 * len(set(values)) / 64
+    got = quantiles(df, [], "v", PROBS, NAMES).first()
+    assert (got[0], got[-1]) == (min(values), max(values))
+    assert list(got)[1:-1] == pytest.approx([float(np.quantile(values, p)) for p in PROBS[1:-1]])
 
 
-def test_quantile_leaves_out_null_and_nan(spark, distributed):
+def test_quantiles_keep_groups_without_values(spark):
+    rows = [("a", 1.0), ("a", 3.0), ("b", None), ("b", float("nan")), (None, 5.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    assert {r.k: r.m for r in median(df, ["k"], "v", "m").collect()} == {"a": 2.0, "b": None, None: 5.0}
+    assert median(df.where("false"), ["k"], "v", "m").count() == 0
+
+
+def test_quantile_leaves_out_null_and_nan(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (1.0,), (4.0,)], "v double")
     assert median(df, [], "v", "m").first().m == 2.5
     empty = quantiles(df.where("v is null"), [], "v", [0.5], ["m"]).collect()
     assert [r.m for r in empty] == [None]
 
 
-def test_column_quantiles_long_form(spark, distributed):
+def test_column_quantiles_long_form(spark):
     df = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, None), (10, 40.0)], "a int, b double")
     row = column_quantiles(df, ["a", "b"], [0.5, 1.0], ["_mid", "_max"]).first()
     assert (row.a_mid, row.a_max, row.b_mid, row.b_max) == (2.5, 10.0, 20.0, 40.0)
@@ -112,6 +124,17 @@ def test_fills(spark):
     assert counts == {"id": (0, 0), "n": (1, 1), "s": (1, 0), "t": (1, 0)}
 
 
+def test_fills_take_nan_booleans_and_collections(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, True, [1]), (2.0, None, None), (3.0, True, [2]), (nan, False, None), (nan, None, None)],
+                               "n double, b boolean, a array<int>").withColumn("i", F.monotonically_increasing_id())
+    rows = fill_by_type(df, ["n", "b", "a"]).orderBy("i").collect()
+    assert [r.n for r in rows] == [1, 2, 3, 2, 2] and [r.b for r in rows] == [True, True, True, False, True]
+    assert [r.a for r in rows] == [[1], [], [2], [], []]
+    assert {r["column"]: r.nulls for r in null_profile(df.drop("i")).collect()} == {"n": 2, "b": 2, "a": 3}
+    assert stats.profile(df, "n").first()["median"] == 2
+
+
 def test_one_hot_drops_unknown_and_ignores_null(spark):
     df = spark.createDataFrame([("a",), ("unknown",), (None,), ("b",)], "c string")
     levels = encode.category_levels(df, ["c"])
