@@ -11,24 +11,15 @@ from basketry import fixed_values as fv
 from basketry.functions.numeric import finite_or_zero
 from basketry.operators.quantile import scalars
 
-MAX_LEVELS = 1000
-
-
 def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct levels of each column, in one job.
+    """Sorted distinct levels of each column, in one Spark job; the distinct is combined on the map side.
 
-    The distinct is combined on the map side. A column with more than
-    MAX_LEVELS levels is no one-hot column and raises.
+    Every level becomes a column of the matrix, so the list is as long as the matrix is wide.
     """
     texts = [F.col(c).cast("string").alias(c) for c in columns]
     long = df.select(*texts).unpivot([], list(columns), "column", "level")
-    room = MAX_LEVELS * len(columns)
-    rows = long.where(F.col("level").isNotNull()).distinct().limit(room + 1).collect()
-    levels = {c: sorted(r.level for r in rows if r.column == c) for c in columns}
-    wide = [c for c in columns if len(levels[c]) > MAX_LEVELS]
-    if wide or len(rows) > room:
-        raise ValueError(f"too many levels for one-hot columns: {wide or list(columns)}")
-    return levels
+    rows = long.where(F.col("level").isNotNull()).distinct().collect()
+    return {c: sorted(r.level for r in rows if r.column == c) for c in columns}
 
 
 def one_hot_names(levels: Mapping[str, Sequence[str]]) -> list[tuple[str, str, str]]:
@@ -75,8 +66,9 @@ def apply_target_encoding(df: DataFrame, columns: Sequence[str], encoding: DataF
 def fit_scaling(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, mean, std): population deviation, null and infinity counted as 0."""
     zeroed = train.select(*[finite_or_zero(c).alias(c) for c in columns])
-    return zeroed.unpivot([], list(columns), "feature", "value").groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    moments = zeroed.agg(*[F.struct(F.lit(c).alias("feature"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c)
+                           for c in columns])
+    return moments.select(F.inline(F.array(*columns)))
 
 
 def scale(df: DataFrame, columns: Sequence[str], scaling: DataFrame) -> DataFrame:

@@ -445,7 +445,8 @@ def request_model(t):
         facts.order_value(t["items"]).select("order_id", F.log1p("order_value").alias("target_log")), "order_id"))
     pre = features.fit_preprocessor(rows, SPLIT)
     columns = pre.feature_names
-    matrix = pre.apply(rows, keep=["order_id", "target_log"])
+    train, _ = time_split(rows, "order_purchase_timestamp", SPLIT)
+    matrix = pre.apply(train, keep=["order_id", "target_log"])
     return pre, models.assembled(columns, models.ridge(matrix)).fit(matrix)
 
 

@@ -236,7 +236,7 @@ def test_actions_and_texts(spark):
     out = scoring.recommended_actions(df, "v")
     assert [r.actions for r in out.collect()] == [["HIGH VALUE", "LOYALTY", "COUPON"], ["LOW VALUE"], []]
     texts = [r.text for r in scoring.action_texts(out).collect()]
-    assert "The 10% discount is factored into this estimate." in texts and len(texts) == 4
+    assert "A coupon of 10% is already part of the figure." in texts and len(texts) == 4
 
 
 def test_run_summary(spark):
