@@ -9,10 +9,6 @@ from basketry import fixed_values as fv
 from basketry.functions.numeric import clip, col
 
 
-def seconds_between(start: str | Column, end: str | Column) -> Column:
-    return F.timestamp_diff("SECOND", col(start), col(end))
-
-
 def whole_days(start: str | Column, end: str | Column) -> Column:
     """Full 24-hour units between two times, rounded down (also below zero)."""
     micros = F.timestamp_diff("MICROSECOND", col(start), col(end))

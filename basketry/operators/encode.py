@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry import fixed_values as fv
 from basketry.functions.numeric import finite_or_zero
 from basketry.operators.quantile import scalars
+from basketry.session import hinted, lookup
 
 def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct levels of each column, in one Spark job; the distinct is combined on the map side.
@@ -53,12 +54,16 @@ def fit_target_encoding(train: DataFrame, columns: Sequence[str], target: str,
 
 
 def apply_target_encoding(df: DataFrame, columns: Sequence[str], encoding: DataFrame) -> DataFrame:
-    """Add ``{column}_te``; null and unseen categories take the global mean."""
+    """Add ``{column}_te``; null and unseen categories take the global mean.
+
+    The encoding is stored and counted (Spark jobs); a small one is broadcast.
+    """
+    encoding, small = lookup(encoding)
     overall = scalars(encoding.where(F.col("column").isNull()).select("encoded"))["encoded"]
     for c in columns:
         table = encoding.where(F.col("column") == c).select(
             F.col("category").alias("__category"), F.col("encoded").alias("__encoded"))
-        df = df.join(table, F.col(c).cast("string") == F.col("__category"), "left").withColumn(
+        df = df.join(hinted(table, small), F.col(c).cast("string") == F.col("__category"), "left").withColumn(
             f"{c}_te", F.coalesce("__encoded", overall)).drop("__category", "__encoded")
     return df
 

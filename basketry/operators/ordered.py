@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "__bucket"
@@ -30,13 +30,6 @@ def group_mode(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Dat
     return counts.groupBy(*keys).agg(best.alias("__best")).select(*keys, F.col("__best.v").alias(name))
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def _with_bucket(df: DataFrame, time: str, unit: str) -> DataFrame:
     return df.withColumn(_BUCKET, F.date_trunc(unit, F.col(time)))
 
@@ -82,10 +75,11 @@ def running_total(df: DataFrame, key: str, order: Sequence[str], value: str, nam
     ).drop("__run", "__carried", _BUCKET)
 
 
-def order_history(df: DataFrame, key: str, time: str, tie: str, unit: str = "month") -> DataFrame:
+def order_history(df: DataFrame, key: str, time: str, tie: str, unit: str = "hour") -> DataFrame:
     """Add first time, previous time and sequence number of each row within its key.
 
-    One bucketed pass serves all three, so the rows are shuffled once.
+    One bucketed pass serves all three. Buckets are short, so a key (or the null key) with a large share
+    of all rows is spread over its hours.
     """
     rows = _with_bucket(df, time, unit)
     inside = Window.partitionBy(key, _BUCKET).orderBy(time, tie)

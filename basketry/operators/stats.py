@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.numeric import equal_width_bin
 from basketry.operators.quantile import attach_row, number, quantiles, scalars
+from basketry.session import cut_lineage
 
 
 def adjusted_skew(x: str) -> Column:
@@ -72,28 +73,39 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_a, column_b, position_a, position_b, r) for all ordered pairs.
+# Correlations in one aggregate: more of them side by side compile to slower code.
+PAIRS_AT_ONCE = 12
+
+
+def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(column_a, column_b, r) for pairs of numeric columns, from a few aggregates over the rows.
 
-    Each row unfolds into its column pairs, which fold to one accumulator per
-    pair before the shuffle. One small aggregate compiles far better than one
-    with an accumulator per pair side by side. A pair uses the rows where both
-    columns are present.
+    A pair uses the rows where both columns are present; null and NaN are one thing. A column has no
+    correlation, itself included, while it does not vary. The columns are stored first (a Spark job).
     """
-    n = len(columns)
-    numbers = F.array(*[F.col(c).cast("double") for c in columns])
-    first = df.select(numbers.alias("xs")).select("xs", F.posexplode("xs").alias("i", "x"))
-    rest = F.slice("xs", F.col("i") + 2, F.lit(n))
-    pairs = first.where(F.col("x").isNotNull()).select("i", "x", F.posexplode(rest).alias("k", "y"))
-    found = pairs.groupBy("i", (F.col("i") + F.col("k") + 1).alias("j")).agg(F.corr("x", "y").alias("r"))
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    df = cut_lineage(df.select(*[number(c).alias(c) for c in names]))
+    parts = [pairs[i:i + PAIRS_AT_ONCE] for i in range(0, len(pairs), PAIRS_AT_ONCE)]
+    found = None
+    for part in parts:
+        cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                          (F.when(F.var_pop(a) > 0, 1.0) if a == b else F.corr(a, b)).alias("r"))
+                 for a, b in part]
+        rows = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_a, column_b, position_a, position_b, r) for all ordered pairs."""
+    columns = list(columns)
+    half = correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    sides = F.when(F.col("column_a") == F.col("column_b"), F.array(F.struct("column_a", "column_b"))).otherwise(
+        F.array(F.struct("column_a", "column_b"), F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"))))
     names = F.array(*[F.lit(c) for c in columns])
-    sides = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
-    diagonal = df.sparkSession.range(n).select(
-        F.col("id").cast("int").alias("i"), F.col("id").cast("int").alias("j"), F.lit(1.0).alias("r"))
-    both = found.unionByName(diagonal).select("r", F.explode(sides).alias("at"))
-    return both.select(names[F.col("at.i")].alias("column_a"), names[F.col("at.j")].alias("column_b"),
-                       F.col("at.i").alias("position_a"), F.col("at.j").alias("position_b"), "r")
+    return half.select("r", F.explode(sides).alias("at")).select(
+        "at.*", (F.array_position(names, F.col("at.column_a")) - 1).cast("int").alias("position_a"),
+        (F.array_position(names, F.col("at.column_b")) - 1).cast("int").alias("position_b"), "r")
 
 
 def shares(df: DataFrame, x: str) -> DataFrame:

@@ -12,7 +12,7 @@ from basketry.functions.numeric import quantile_label
 from basketry.functions.temporal import minutes_between
 from basketry.operators.ordered import group_mode
 from basketry.operators.quantile import attach_row, median, quantiles
-from basketry.operators.stats import box_stats, correlation_matrix
+from basketry.operators.stats import box_stats, correlations
 from basketry.plans import facts
 from basketry.plans.modeling import suffixed
 
@@ -74,14 +74,12 @@ def quartile_labels(df: DataFrame, x: str, name: str) -> DataFrame:
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of every other column with the target, strongest first."""
-    return (correlation_matrix(df, columns)
-            .where((F.col("column_a") == target) & (F.col("column_b") != target))
-            .select(F.col("column_b").alias("feature"), "r").orderBy(F.desc("r")))
+    found = correlations(df, [(target, c) for c in columns if c != target])
+    return found.select(F.col("column_b").alias("feature"), "r").orderBy(F.desc("r"))
 
 
 def collinear_pairs(df: DataFrame, columns: Sequence[str], target: str, limit: float = 0.7) -> DataFrame:
     """Column pairs (target excluded) whose absolute correlation exceeds the limit."""
-    return correlation_matrix(df, columns).where(
-        (F.col("position_a") < F.col("position_b")) & (F.abs("r") > limit)
-        & (F.col("column_a") != target) & (F.col("column_b") != target)
-    ).select("column_a", "column_b", "r")
+    rest = [c for c in columns if c != target]
+    found = correlations(df, [(a, b) for i, a in enumerate(rest) for b in rest[i + 1:]])
+    return found.where(F.abs("r") > limit)

@@ -15,7 +15,7 @@ from basketry.functions.temporal import minutes_between
 from basketry.operators.nulls import fill_by_type
 from basketry.operators.quantile import scalars
 from basketry.plans import facts
-from basketry.session import cut_lineage
+from basketry.session import cut_lineage, hinted, lookup
 
 Tables = Mapping[str, DataFrame]
 
@@ -54,16 +54,17 @@ def merged_orders(t: Tables) -> DataFrame:
 
     Facts keyed by order join first and share one hash partitioning. Customer,
     place, region index and profile fold into one customer table, so the orders
-    move by customer once.
+    move by customer once. Category, place and region tables are stored and counted, and broadcast
+    if they are small, so a common category or region is no hot key.
     """
     orders = facts.kept_orders(facts.with_approval(facts.dedup_orders(t["orders"])))
     products = facts.translated_products(t["products"], t["category_translation"])
     lines = shared(facts.categorised_items(facts.dedup_items(t["items"]), products).drop(
         "shipping_limit_date"))
     by_order = shared(facts.order_facts(lines)).where(F.col("order_value") > 0)
-    by_category = facts.category_price_stats(lines).withColumn(
-        "primary_category", F.col("product_category_name_english"))
-    centroids = facts.geo_centroid(t["geolocation"])
+    by_category = hinted(*lookup(facts.category_price_stats(lines).withColumn(
+        "primary_category", F.col("product_category_name_english"))))
+    centroids = hinted(*lookup(facts.geo_centroid(t["geolocation"])))
     by_seller = facts.seller_stats(lines).join(
         facts.seller_places(t["sellers"], centroids), "seller_id", "left")
 
@@ -74,8 +75,8 @@ def merged_orders(t: Tables) -> DataFrame:
     sessions = t["sessions"].drop("customer_id")
     df = df.join(suffixed(sessions, [c for c in df.columns if c != "order_id"], "_session"), "order_id")
     df = df.join(facts.session_activity(t["session_activity"]), "session_id", "left")
-    index = facts.regional_price_index(
-        by_order.join(orders.select("order_id"), "order_id", "left_semi"), orders, t["customers"])
+    index = hinted(*lookup(facts.regional_price_index(
+        by_order.join(orders.select("order_id"), "order_id", "left_semi"), orders, t["customers"])))
     people = customer_table(t, centroids, index)
     df = df.join(suffixed(people, [c for c in df.columns if c != "customer_id"], "_profile"), "customer_id")
     df = df.join(by_category, "primary_category", "left").join(by_seller, "seller_id", "left")

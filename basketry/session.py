@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUNTIME_CONFS = {
     "spark.sql.adaptive.enabled": "true",
@@ -59,3 +60,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Rows up to which a lookup side may be broadcast.
+LOOKUP_ROWS = 50_000
+
+
+def lookup(df: DataFrame, limit: int = LOOKUP_ROWS) -> tuple[DataFrame, bool]:
+    """A stored copy of a lookup side, and whether its rows, counted in the copy, may be broadcast.
+
+    Runs Spark jobs. A longer side stays a plain join side, which Spark shuffles with skew handling.
+    """
+    stored = cut_lineage(df)
+    return stored, stored.limit(limit + 1).count() <= limit
+
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
