@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import gc
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +27,23 @@ KNOWN_WORDS = 300_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the package's source to all executors, once for each application, so that it need not be installed there."""
+    context = spark.sparkContext
+    if getattr(context, "_basketry_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="basketry-")).resolve() / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._basketry_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings of the library, and small Arrow batches."""
+    """Runtime settings of the library, small Arrow batches, and the package on the executors."""
+    ship_package(spark)
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
