@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.session import configure
-from basketry.sources.star import StarTables
+from checks.star import StarTables
 from checks import views
 
 SPLIT = views.SPLIT

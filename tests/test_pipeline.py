@@ -13,7 +13,7 @@ from basketry.operators.quantile import scalars
 from basketry.plans import drift, eda, facts, features, legacy, metrics, modeling, models, scoring, validation
 from basketry.sources import tables
 from basketry.sources.schemas import RAW_TABLES
-from basketry.sources.star import StarTables
+from checks.star import StarTables
 from basketry.streaming.activity import session_rollup, write_rollup
 from basketry.streaming.scoring import score_stream
 from checks import modelling, profiling
