@@ -22,16 +22,15 @@ from pyspark.sql import types as T
 from basketry.llm.common import KnownWords, field, keep, with_text_columns
 
 # Labelled rows learnt from, at most so many of each class (by hash of the id).
-SAMPLE_ROWS = 10_000
-# An insult stands in at least this share of the toxic texts of the sample, and in no fewer than LEAST_TEXTS.
-LEAST_SHARE = 0.002
-LEAST_TEXTS = 4
-# Toxic texts with the word for each clean text with it, relative to the class sizes.
+SAMPLE_ROWS = 4_000
+# An insult stands in at least so many independent places of toxic texts.
+LEAST_PLACES = 8
+# Its places in toxic texts for each in clean ones, relative to the words of both.
 LEAST_ODDS = 25.0
 # Least log-likelihood ratio of the word's spread over the classes against chance; so large that among
 # millions of rare words none is expected to pass by luck.
 LEAST_RATIO = 40.0
-SHORTEST_STEM, LONGEST_STEM = 4, 12
+SHORTEST_STEM, LONGEST_STEM = 4, 8
 
 # Fixed word lists of the grammar.
 TARGETS = frozenset("you your yours he she him her they them his their u du dich dir dein ihr sie er tu te toi "
@@ -103,55 +102,85 @@ def run_clause(symbols: Sequence[int]) -> int | None:
     return found
 
 
-def _class_counts(sample: DataFrame, text: str, label: str) -> list:
-    """(gram, whole, toxic, clean): texts of each class that hold a word or a word beginning."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
-    stems = F.transform(F.sequence(F.lit(SHORTEST_STEM), F.lit(LONGEST_STEM)), lambda n: F.col("word").substr(F.lit(1), n))
-    distinct = sample.select(F.monotonically_increasing_id().alias("row"), label, F.explode(words).alias("word"))
-    grams = distinct.select("row", label, F.explode(F.array_union(
-        F.array(F.struct(F.col("word").alias("gram"), F.lit(True).alias("whole"))),
-        F.transform(F.filter(stems, lambda s: F.length(s) >= SHORTEST_STEM),
-                    lambda s: F.struct(s.alias("gram"), F.lit(False).alias("whole"))))).alias("g")).select("row", label, "g.*")
-    once = grams.distinct()
-    counts = once.groupBy("gram", "whole").agg(F.sum(F.col(label).cast("long")).alias("toxic"),
-                                               F.sum(1 - F.col(label).cast("long")).alias("clean"))
-    return counts.where(F.col("toxic") >= LEAST_TEXTS)
+def _grams(rows: DataFrame, text: str) -> DataFrame:
+    """(gram, whole, before, after): each word of each text, whole and by its beginnings, between its neighbours."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+    places = F.transform(F.col("words"), lambda w, i: F.struct(
+        w.alias("word"), F.coalesce(F.get("words", i - 1), F.lit("")).alias("before"),
+        F.coalesce(F.get("words", i + 1), F.lit("")).alias("after")))
+    found = rows.select(words.alias("words")).select(F.explode(places).alias("p")).select("p.*")
+    lengths = F.sequence(F.lit(SHORTEST_STEM), F.least(F.length("word"), F.lit(LONGEST_STEM)))
+    stems = F.when(F.length("word") >= SHORTEST_STEM, F.transform(
+        lengths, lambda n: F.struct(F.col("word").substr(F.lit(1), n).alias("gram"), F.lit(False).alias("whole"))))
+    whole = F.array(F.struct(F.col("word").alias("gram"), F.lit(True).alias("whole")))
+    return found.select("before", "after", F.explode(F.concat(whole, F.coalesce(stems, F.array_repeat(
+        F.struct(F.col("word").alias("gram"), F.lit(False).alias("whole")), F.lit(0))))).alias("g")).select("g.*", "before", "after")
 
 
-def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", least_share: float = LEAST_SHARE,
-          least_odds: float = LEAST_ODDS) -> Grammar:
+def _class_counts(toxic: DataFrame, clean: DataFrame, text: str) -> DataFrame:
+    """(gram, whole, toxic, clean): independent places of a gram in toxic texts, and its places in clean ones.
+
+    Copies of a text, edited or not, repeat a word between the same neighbours. Places count as
+    independent if both neighbours differ from the gram's commonest ones, and one more for those.
+    """
+    places = _grams(toxic, text).distinct()
+    common = places.groupBy("gram", "whole").agg(
+        F.mode("before", True).alias("common_before"), F.mode("after", True).alias("common_after"),
+        F.count("*").alias("n")).where(F.col("n") >= LEAST_PLACES).drop("n")
+    apart = (F.col("before") != F.col("common_before")) & (F.col("after") != F.col("common_after"))
+    counted = places.join(common, ["gram", "whole"]).groupBy("gram", "whole").agg(
+        (F.count_if(apart) + 1).alias("toxic")).where(F.col("toxic") >= LEAST_PLACES)
+    others = _grams(clean, text).groupBy("gram", "whole").agg(F.count("*").alias("clean"))
+    return counted.join(others, ["gram", "whole"], "left").fillna(0, ["clean"])
+
+
+def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", least_odds: float = LEAST_ODDS) -> Grammar:
     """Learn insults and weights from a sample as ``labelled_sample`` makes it (text, label 0 or 1).
 
-    Match counts of the sampled rows and the lexicon, at most (words of a text / least_share) entries,
-    are collected. Without toxic rows the grammar knows no insults.
+    Equal texts count once (as toxic, if any of them is). Match counts of the sampled rows and the
+    lexicon are collected; both are bounded by the sample. Without toxic rows the grammar knows no insults.
     """
-    labelled = keep(labelled.select(text, label))
-    totals = {r[label]: r["n"] for r in labelled.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic:
+    labelled = keep(labelled.groupBy(text).agg(F.max(label).alias(label)))
+    toxic, clean = labelled.where(F.col(label) == 1), labelled.where(F.col(label) == 0)
+    size = labelled.groupBy(label).agg(F.sum(F.size(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))).alias("n"))
+    words_in = {r[label]: max(r["n"], 1) for r in size.collect()}
+    if 1 not in words_in:
         return Grammar(frozenset(), frozenset())
+    share = words_in[1] / (words_in[1] + words_in.get(0, 1))
     t, c = F.col("toxic"), F.col("clean")
-    seen, share = t + c, toxic / (toxic + clean)
-    ratio = 2 * (t * F.log(t / (seen * share)) + F.when(c > 0, c * F.log(c / (seen * max(1 - share, 1e-9)))).otherwise(0.0))
-    counts = _class_counts(labelled, text, label).where(
-        (t >= least_share * toxic) & (ratio >= LEAST_RATIO)
-        & ((t + 0.5) / toxic >= least_odds * (c + 0.5) / max(clean, 1))).collect()
+    seen = t + c
+    ratio = 2 * (t * F.log(t / (seen * share)) + F.when(c > 0, c * F.log(c / (seen * (1 - share)))).otherwise(0.0))
+    odds = (t + 0.5) / words_in[1] / ((c + 0.5) / words_in.get(0, 1))
+    counts = _class_counts(toxic, clean, text).where((ratio >= LEAST_RATIO) & (odds >= least_odds)).collect()
     words = {r["gram"] for r in counts if r["whole"]}
-    stems: set[str] = set()  # of nested beginnings the shortest one
-    for gram in sorted({r["gram"] for r in counts if not r["whole"]}, key=lambda g: (len(g), g)):
-        if not any(gram[:n] in stems for n in range(SHORTEST_STEM, len(gram))):
-            stems.add(gram)
+    stems = _stems({r["gram"]: (r["toxic"], r["clean"]) for r in counts if not r["whole"]})
     grammar = Grammar(frozenset(words), frozenset(stems))
     counted = _matches(labelled.select(text, label), grammar, text).select(label, "kinds").collect()
     return _fit(grammar, [list(r["kinds"]) for r in counted], [r[label] for r in counted])
 
 
+def _stems(counts: dict[str, tuple[int, int]]) -> set[str]:
+    """Of nested beginnings the shortest one, but lengthened while that loses clean places and hardly any toxic ones."""
+    stems: set[str] = set()
+    for gram in sorted(counts, key=lambda g: (len(g), g)):
+        if any(gram[:n] in stems for n in range(SHORTEST_STEM, len(gram) + 1)):
+            continue
+        while counts[gram][1]:
+            longer = max((g for g in counts if len(g) == len(gram) + 1 and g.startswith(gram)),
+                         key=lambda g: (counts[g][0], g), default=None)
+            if longer is None or counts[longer][0] < 0.9 * counts[gram][0] or counts[longer][1] >= counts[gram][1]:
+                break
+            gram = longer
+        stems.add(gram)
+    return stems
+
+
 def _features(kinds: Sequence[Sequence[int]]) -> np.ndarray:
     """Matches of a kind count with falling force: log(1 + n)."""
     return np.log1p(np.array(kinds, dtype=float).reshape(-1, len(KINDS)))
 
 
-def _fit(grammar: Grammar, kinds: list, labels: list[int], ridge: float = 1.0, steps: int = 50) -> Grammar:
+def _fit(grammar: Grammar, kinds: list, labels: list[int], ridge: float = 0.05, steps: int = 50) -> Grammar:
     """Weights by ridge logistic regression (Newton steps), kept from going below zero."""
     x = np.column_stack([np.ones(len(kinds)), _features(kinds)])
     y = np.array(labels, dtype=float)
