@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from basketry.session import checkpoint_dir, configure
+from basketry.session import configure, cut_lineage
 
 # A batch holds at most this many rows or bytes, so a run of very long texts stays small in memory.
-BATCH_ROWS = 1000
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_ROWS = 300
+BATCH_BYTES = 4 * 1024 * 1024
 
 # Words kept in one worker's table of known words.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 120_000
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -55,13 +55,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and read them back.
+    """Write the rows to the shared checkpoint folder and read them back, until the application ends.
 
     Several passes then read the same rows, and none of them needs an executor that may be gone.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return cut_lineage(df)
 
 
 def drop_kept(*frames: DataFrame) -> None:
@@ -73,6 +71,15 @@ def drop_kept(*frames: DataFrame) -> None:
             system.delete(folder, True)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Spark uses a worker again for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # there with glibc
+    if trim:
+        trim(0)
+
+
 def with_text_columns(docs: DataFrame, text: str, fields: T.StructType,
                       start: Callable[[], Callable[[list[str]], Sequence[Sequence]]]) -> DataFrame:
     """Add columns computed from a text column, batch by batch.
@@ -96,6 +103,8 @@ def with_text_columns(docs: DataFrame, text: str, fields: T.StructType,
             kept = [(n, batch.column(n)) for n in batch.schema.names if n != "__text"]
             yield pa.RecordBatch.from_arrays([a for _, a in kept] + arrays,
                                              names=[n for n, _ in kept] + list(fields.names))
+        del compute
+        release_memory()
 
     return source.mapInArrow(run, schema)
 

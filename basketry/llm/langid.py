@@ -20,14 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import KnownWords, field, keep, with_text_columns
+from basketry.llm.common import KnownWords, field, keep, release_memory, with_text_columns
 
 UNDETERMINED = "und"
 ORDERS = (4, 3, 2, 1)
 WORD_SHARE = 1e-5
 GRAM_SHARE = 1e-5
 # Counts held in a task before they are passed on.
-HELD_COUNTS = 500_000
+HELD_COUNTS = 150_000
 # Below this score the pipeline takes a text's language as unknown.
 LEAST_SCORE = 0.5
 
@@ -60,12 +60,11 @@ def _counted(df: DataFrame, items) -> DataFrame:
         held: dict[str, Counter] = {}
 
         def flush():
-            rows = [(lang, item, n) for lang, counts in held.items() for item, n in counts.items()]
+            for lang, counts in held.items():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang], pa.string()).take(pa.array([0] * len(counts), pa.int32())),
+                    pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=schema.names)
             held.clear()
-            for a in range(0, len(rows), 50_000):
-                langs, names, ns = zip(*rows[a:a + 50_000])
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(names, pa.string()),
-                                                  pa.array(ns, pa.int64())], names=schema.names)
 
         for batch in batches:
             for lang, value, weight in zip(*(c.to_pylist() for c in batch.columns)):
@@ -73,6 +72,7 @@ def _counted(df: DataFrame, items) -> DataFrame:
             if sum(map(len, held.values())) > HELD_COUNTS:
                 yield from flush()
         yield from flush()
+        release_memory()
 
     return df.mapInArrow(run, schema).groupBy("lang", "item").agg(F.sum("n").alias("n"))
 
