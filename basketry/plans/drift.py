@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
 from basketry.operators.quantile import attach_row, quantiles, unpivot, value_bins
+from basketry.session import cut_lineage
 
 
 def labelled(reference: DataFrame, current: DataFrame) -> DataFrame:
@@ -32,8 +33,10 @@ def psi(rows: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
 
     A value's bin is the number of inner edges not above it, so repeated edges
     give empty bins. Counts are smoothed by one per bin. The rows fold to one
-    row of bin counts per feature before anything is shuffled.
+    row of bin counts per feature before anything is shuffled. The columns are stored first (a Spark
+    job), since edges and counts both read them.
     """
+    rows = cut_lineage(rows.select("is_ref", *features))
     names = [f"e{i}" for i in range(1, bins)]
     edges = quantiles(_long(rows.where("is_ref"), features), ["feature"], "value",
                       [i / bins for i in range(1, bins)], names)
@@ -72,7 +75,7 @@ def ks_distance(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """
     counts = (_long(rows, features).groupBy("feature", F.col("value").alias("v"))
               .agg(F.count("*").alias("n"), F.count_if("is_ref").alias("r")))
-    binned, _ = value_bins(counts, ["feature"])
+    binned, _ = value_bins(cut_lineage(counts), ["feature"])
     binned = binned.withColumn("c", F.col("n") - F.col("r"))
     lower = Window.partitionBy("feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
