@@ -1,7 +1,7 @@
 """License scans with a positional index of rare words.
 
 The index lists, for every template, the positions of its words but for function words. A file's
-licence words are weighed by their rarity over all documents, and the rarest are looked up; postings that
+licence words are weighed by their rarity over all documents, and all of them are looked up; postings that
 agree on the relative position of file and template are added up. The best alignment's share of the
 template's weight is its coverage. A template counts where coverage is high enough and every mandatory
 key phrase stands in the file word for word. Only built-in functions run; what the driver holds is one
@@ -63,7 +63,6 @@ TEMPLATES = (
 # Words that the index leaves out: they stand in most texts and place nothing.
 FUNCTION_WORDS = frozenset("a all and any are as by can for form in into is it of or that the this to under use v with "
                            "without you 0 2 3 4".split())
-RAREST = 24
 LEAST_COVERAGE = 0.6
 
 
@@ -92,13 +91,13 @@ def _phrase_places(words: Column, hits: Column, phrase: str) -> Column:
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple[Template, ...] = TEMPLATES,
-         base: dict[str, str] = BASE, rarest: int = RAREST, least: float = LEAST_COVERAGE) -> DataFrame:
+         base: dict[str, str] = BASE, least: float = LEAST_COVERAGE) -> DataFrame:
     """One row per document: key, n_words, n_base, first_word, last_word, base_labels, labels, score, matches.
 
     A null or empty text has no words, no labels and score 0. ``matches`` lists template label, first
     word and coverage. The score is 1 with a base phrase, else the best coverage of a matched template.
-    ``rarest`` is how many distinct licence words of a file are looked up at least; words as rare as the
-    last of them are looked up too. Repeated rows are scanned each; other columns are left out.
+    Every licence word of a file is looked up, however many it holds. Repeated rows are scanned each;
+    other columns are left out.
     """
     spark = docs.sparkSession
     index = index_rows(templates)
@@ -118,16 +117,11 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     with_word = {r["word"]: r["n"] for r in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}  # template words
     documents = found.count()
     rarity = {w: math.log((1 + documents) / (1 + with_word.get(w, 0))) + 1 for w in vocabulary}
-    weights = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, rarity[w])])
 
     totals = {t: sum(rarity[w] for u, _, w in index if u == t) for t in range(len(templates))}
     postings = spark.createDataFrame([(t, i, w, rarity[w] / totals[t]) for t, i, w in index],
                                      "template int, at int, word string, share double")
-    distinct = F.array_distinct(F.transform("hits", lambda h: h["word"]))
-    ranked = F.reverse(F.array_sort(F.transform(distinct, lambda w: F.element_at(weights, w))))
-    bar = F.element_at(ranked, F.least(F.size(ranked), F.lit(rarest)))
-    looked_up = found.where(F.size("hits") > 0).withColumn("bar", bar).select(
-        "row", F.explode(F.filter("hits", lambda h: F.element_at(weights, h["word"]) >= F.col("bar"))).alias("h"))
+    looked_up = found.select("row", F.explode("hits").alias("h"))
     aligned = looked_up.join(F.broadcast(postings), F.col("h.word") == postings["word"]).groupBy(
         "row", "template", (F.col("h.pos") - F.col("at")).alias("start")).agg(F.sum("share").alias("coverage"))
     best = aligned.where(F.col("coverage") >= least).groupBy("row", "template").agg(

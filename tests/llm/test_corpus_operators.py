@@ -487,6 +487,24 @@ def test_licences(spark, odd, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licences_of_a_file_with_many_notices(spark):
+    prepare(spark)
+    by_label = {t.label: t.text for t in licenses.TEMPLATES}
+    common = [t.text for t in licenses.TEMPLATES if t.label not in ("isc", "mit", "bsd", "mpl-2.0", "public-domain")]
+    rare = sorted({w for label in ("isc", "mit", "bsd", "mpl-2.0", "public-domain") for w in by_label[label].split()
+                   if w not in licenses.FUNCTION_WORDS})
+    whole = [" | ".join(t.text for t in licenses.TEMPLATES),
+             " | ".join(licenses.TEMPLATES[i].text for i in (11, 2, 1)),
+             "prose ".join(f"{w} " for w in rare) + " | " + by_label["gpl-3.0"]]
+    docs = spark.createDataFrame(rows_of(whole + common * 20), SCHEMA)
+    found = {r["doc_id"]: r for r in licenses.scan(docs).where("doc_id < 3").collect()}
+    assert {t.label for t in licenses.TEMPLATES} <= set(found[0]["labels"].split(","))
+    assert {m["label"] for m in found[0]["matches"]} == {t.label for t in licenses.TEMPLATES}
+    assert [m["label"] for m in found[1]["matches"]] == ["apache-2.0", "bsd", "mit"]
+    assert [m["label"] for m in found[2]["matches"]] == ["gpl-3.0"]
+    assert all(m["coverage"] == 1 for r in found.values() for m in r["matches"] if m["label"] in ("apache-2.0", "gpl-3.0"))
+
+
 # The whole
 
 def test_every_result_survives_empty_tables(empty):
