@@ -2,8 +2,9 @@
 
 A public piece vocabulary with byte fallback measures every text: characters per token, the share of
 byte-fallback tokens, and the entropy of the token distribution relative to the most that so many
-tokens could have. Each script has bands; a text outside its script's bands is rejected, and so is
-one that fails the base rules (too few words, too much repetition).
+tokens could have. Each script has fixed bands. Inside them, each script and language has narrower bands that
+come from the quartiles of all its texts, so that a text is held against its own kind. A text outside
+the bands is rejected, and so is one that fails the base rules (too few words, too much repetition).
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ import numpy as np
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import KnownWords, field, with_text_columns
+from basketry.llm.common import KnownWords, field, keep, with_text_columns
+from basketry.session import hinted, lookup
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -40,11 +43,21 @@ class Band:
     least_entropy: float
 
 
-# Scripts that the vocabulary covers well spell out little; for others many bytes are normal.
+# Scripts that the vocabulary covers well spell out little; sentences in the far scripts spell out up to a
+# fifth, in scripts that SCRIPTS lacks any share is normal. Text without letters must be covered like Latin.
 LATIN_BAND = Band(1.2, 9.0, 0.10, 0.35)
 CLOSE_BAND = Band(0.8, 8.0, 0.50, 0.30)
+LISTED_BAND = Band(0.25, 6.0, 0.40, 0.25)
 FAR_BAND = Band(0.25, 6.0, 1.0, 0.25)
-BANDS = {"latin": LATIN_BAND, "greek": CLOSE_BAND, "cyrillic": CLOSE_BAND}
+BANDS = {"latin": LATIN_BAND, "greek": CLOSE_BAND, "cyrillic": CLOSE_BAND, "none": LATIN_BAND,
+         **dict.fromkeys(("hebrew", "arabic", "devanagari", "thai", "kana", "han", "hangul"), LISTED_BAND)}
+
+# Bands of a script and language: its quartiles, widened by so many times their distance, which counts as
+# this share of the median at least. Fewer different texts than LEAST_TEXTS have the fixed bands only.
+WIDEN = 2.0
+LEAST_SPREAD = 0.02
+LEAST_TEXTS = 200
+BYTES_SPARED = 0.02
 
 FIELDS = T.StructType([
     field("n_words", T.LongType()), field("word_chars", T.LongType()), field("n_symbols", T.LongType()),
@@ -82,15 +95,15 @@ def duplicate_lines(text: str) -> int:
 
 
 def script_of(text: str) -> str:
-    """The script with most letters; ``other`` without letters of a known script."""
+    """The script with most letters; ``other`` with letters of unknown scripts only, ``none`` without letters."""
     if not _BEYOND_LATIN.search(text):
-        return "latin" if _LETTERS["latin"].search(text) else "other"
+        return "latin" if _LETTERS["latin"].search(text) else "none"
     best, most = "other", 0
     for name, letters in _LETTERS.items():
         n = sum(map(len, letters.findall(text)))
         if n > most:
             best, most = name, n
-    return best
+    return best if most or any(map(str.isalpha, text)) else "none"
 
 
 def piece_measurer(model: str | None = None):
@@ -126,13 +139,9 @@ def piece_measurer(model: str | None = None):
     return measure_all
 
 
-def judge(docs: DataFrame, text: str = "text", model: str | None = None, bands: dict[str, Band] = BANDS,
-          other: Band = FAR_BAND) -> DataFrame:
-    """Add the word counts, the three measures and the verdict ``kept`` to every document.
-
-    A null or empty text has no words and is not kept. Repeated rows are judged alike. Columns named
-    like a result are replaced.
-    """
+def measured(docs: DataFrame, text: str = "text", model: str | None = None, bands: dict[str, Band] = BANDS,
+             other: Band = FAR_BAND) -> DataFrame:
+    """Add the word counts, the three measures and the verdict ``kept`` of base rules and fixed bands."""
 
     def start():
         measure_all = piece_measurer(model)
@@ -158,8 +167,55 @@ def judge(docs: DataFrame, text: str = "text", model: str | None = None, bands:
     return with_text_columns(docs, text, FIELDS, start)
 
 
-def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
-    return judge(docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c in FIELDS.names}), text) \
-        .where("kept").select(*[f"__own_{c}" if c in FIELDS.names else c for c in docs.columns]) \
-        .withColumnsRenamed({f"__own_{c}": c for c in docs.columns if c in FIELDS.names})
+def corpus_bands(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The bands of each script and language, from all its texts that base rules and fixed bands keep.
+
+    Texts with equal measures count once, so copies move no band.
+    """
+    measures = {"chars_per_token": 4, "byte_share": 4, "token_entropy": 4}  # so few values that exact quartiles are small
+    texts = rows.where("kept").select(*keys, *[F.round(c, n).alias(c) for c, n in measures.items()]).distinct()
+    groups = texts.groupBy(*keys).agg(F.count("*").alias("n"), *[
+        F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in measures])
+
+    def fence(name: str, side: int):
+        low, middle, high = (F.col(name)[i] for i in range(3))
+        spread = WIDEN * F.greatest(high - low, LEAST_SPREAD * middle)
+        return low - spread if side < 0 else high + spread
+
+    return groups.where(F.col("n") >= LEAST_TEXTS).select(
+        *keys, fence("chars_per_token", -1).alias("__least_chars"), fence("chars_per_token", 1).alias("__most_chars"),
+        (fence("byte_share", 1) + BYTES_SPARED).alias("__most_bytes"), fence("token_entropy", -1).alias("__least_entropy"))
+
+
+def within_corpus(rows: DataFrame, language: str = "lang") -> DataFrame:
+    """``measured`` rows with ``kept`` narrowed to the bands of their script and language. Runs Spark jobs.
+
+    Rows without the language column are held against their script alone; a null language is one more
+    language. The rows are read twice, so they should be stored.
+    """
+    columns = rows.columns
+    tongue = F.coalesce(F.col(language).cast("string"), F.lit("")) if language in columns else F.lit("")
+    rows = rows.withColumns({"__script": F.col("script"), "__language": tongue})
+    bands, small = lookup(corpus_bands(rows, ["__script", "__language"]))
+    inside = (F.col("chars_per_token").between(F.col("__least_chars"), F.col("__most_chars"))
+              & (F.col("byte_share") <= F.col("__most_bytes")) & (F.col("token_entropy") >= F.col("__least_entropy")))
+    return rows.join(hinted(bands, small), ["__script", "__language"], "left").withColumn(
+        "kept", F.col("kept") & F.coalesce(inside, F.lit(True))).select(*columns)
+
+
+def judge(docs: DataFrame, text: str = "text", model: str | None = None, bands: dict[str, Band] = BANDS,
+          other: Band = FAR_BAND, language: str = "lang") -> DataFrame:
+    """Add the word counts, the three measures and the verdict ``kept`` to every document. Runs Spark jobs.
+
+    A null or empty text has no words and is not kept. Repeated rows are judged alike. Columns named
+    like a result are replaced. Drop the text after ``measured`` where it need not be stored.
+    """
+    return within_corpus(keep(measured(docs, text, model, bands, other)), language)
+
+
+def quality_filter(docs: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """The documents that the rules keep, with their own columns. Runs Spark jobs."""
+    own = {c: f"__own_{c}" for c in docs.columns if c in FIELDS.names}
+    rows = keep(measured(docs.withColumnsRenamed(own), text).where("kept"))
+    return within_corpus(rows, language).where("kept").select(*[own.get(c, c) for c in docs.columns]) \
+        .withColumnsRenamed({v: k for k, v in own.items()})

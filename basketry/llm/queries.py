@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import bpe, fingerprint, langid, licenses, ngram_join, packing, pii, quality, sharding, toxicity
-from basketry.llm.common import documents
+from basketry.llm.common import documents, keep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,7 +57,8 @@ def _near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_tokeniser_fertility")
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(documents(spark, folder).select("doc_id", "text")).drop("text")
+    rows = quality.measured(documents(spark, folder).select("doc_id", "text", "lang")).drop("text")
+    return quality.within_corpus(keep(rows)).drop("lang")
 
 
 _FINGERPRINT_SQL = """

@@ -251,6 +251,26 @@ def test_quality_measures_and_bands(spark):
     assert kept.columns == docs.columns and [r["n_words"] for r in kept.collect()] == [-3]
 
 
+def test_quality_bands_come_from_the_corpus(spark):
+    prepare(spark)
+    rng = random.Random(5)
+    syllables = ["the", "ing", "and", "ion", "ent", "for", "tion", "ter"]
+    prose = [" ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(120)) for _ in range(300)]
+    noise = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(100))  # inside the fixed band
+    other = " ".join(chr(0x5D0 + i % 27) + chr(0xE000 + i) * 4 for i in range(100))  # a few Hebrew letters, spelt in bytes
+    signs = " ".join("".join(rng.choice("#*$%&|<>!?") for _ in range(5)) for _ in range(100))
+    docs = spark.createDataFrame(rows_of(prose + [noise, other, signs]), SCHEMA)
+    judged = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert [judged[i]["kept"] for i in (300, 301, 302)] == [False] * 3
+    assert not any(judged[i]["base_failed"] for i in (300, 301, 302))
+    assert [judged[i]["script"] for i in (300, 301, 302)] == ["latin", "hebrew", "none"]
+    assert sum(judged[i]["kept"] for i in range(300)) >= 290
+    alone = quality.judge(docs.where("doc_id = 300 OR doc_id < 50")).where("doc_id = 300").first()
+    assert alone["kept"]  # too few texts for bands of their own
+    kept = {r["doc_id"] for r in quality.quality_filter(docs).collect()}
+    assert kept == {i for i, r in judged.items() if r["kept"]}
+
+
 # Language
 
 def test_language_backoff(spark, odd, empty):
