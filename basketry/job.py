@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.operators.sampling import time_split
+from basketry.operators import gram
+from basketry.operators.sampling import fold_number, time_split
 from basketry.plans import drift, features, metrics, modeling, models, validation
 from basketry.session import build_session, cut_lineage
 from basketry.sources.tables import read_commerce, save_model, write_csv, write_json, write_parquet
@@ -39,10 +40,16 @@ def training_matrix(data: DataFrame, split: str = SPLIT) -> tuple[features.Prepr
 
 def compare_models(matrix: DataFrame, columns: Sequence[str], split: str = SPLIT,
                    names: Sequence[str] | None = None) -> tuple[dict, DataFrame]:
-    """Fitted pipelines, and a metrics row for each model on the rows from the split date on."""
+    """Fitted pipelines, and a metrics row for each model on the rows from the split date on.
+
+    The linear models come from the moments of one scan, the others are MLlib's.
+    """
     train, test = time_split(matrix, "order_purchase_timestamp", split)
     known = models.estimators(train)
-    return models.fit_and_measure(train, test, columns, {n: known[n] for n in names or known})
+    wanted = list(names or known)
+    fitted = models.fit_lines(train, columns, [n for n in wanted if n in gram.SOLVERS])
+    fitted |= {n: models.assembled(columns, known[n]).fit(train) for n in wanted if n not in gram.SOLVERS}
+    return fitted, models.measured({n: fitted[n] for n in wanted}, test)
 
 
 def run(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, split: str = SPLIT,
@@ -67,9 +74,12 @@ def run(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, split: s
     best = metrics.best_model(comparison)
     name = best.first().model
     write_json(metrics.kpi_status(best), f"{out}/kpi_status")
+    train, test = time_split(matrix, "order_purchase_timestamp", split)
+    write_csv(gram.cross_validated(train, columns, "target_log", fold_number("order_id")), f"{out}/cross_validation")
+    write_parquet(metrics.residuals(fitted[name].transform(test), "target_log", "prediction", ["order_id"]),
+                  f"{out}/predictions")
     save_model(fitted[name], best, f"{out}/model")
     if hasattr(fitted[name].stages[-1], "featureImportances"):
-        train, _ = time_split(matrix, "order_purchase_timestamp", split)
         write_csv(models.feature_importance(fitted[name], columns, train), f"{out}/feature_importance")
 
     windows = cut_lineage(drift.labelled_by_time(matrix, "order_purchase_timestamp", split).select("is_ref", *columns))

@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
 from basketry.functions.labels import tier_rank
-from basketry.functions.numeric import finite_or_zero, ratio
+from basketry.functions.numeric import ratio
 from basketry.functions.temporal import age_years, calendar
-from basketry.operators import encode
+from basketry.operators import encode, gram
 from basketry.operators.sampling import time_split
 from basketry.plans.facts import customer_order_count
 from basketry.sources.tables import write_parquet
@@ -131,18 +129,19 @@ def fit_preprocessor(df: DataFrame, split_date: str, target: str = "target_log",
 
 
 def vif(matrix: DataFrame, columns: Sequence[str], limit: float = 10.0) -> DataFrame:
-    """(feature, vif, dropped): variance inflation, the largest dropped until all pass.
+    """(feature, vif, dropped): variance inflation, the largest dropped until all pass. Runs a Spark job.
 
-    Spark reduces the rows to one p x p correlation matrix; the inverse and the
-    drop loop work on that.
+    Spark reduces the rows to the moments of the columns; the inverse and the drop loop work on these.
     """
+    return vif_of(matrix.sparkSession, gram.moments(matrix, columns), columns, limit)
+
+
+def vif_of(spark: SparkSession, parts: Mapping[int, gram.Moments], columns: Sequence[str], limit: float = 10.0) -> DataFrame:
+    """As ``vif``, from moments that hold the columns among others."""
     import numpy as np
 
     columns = list(columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(
-        matrix.select(*[finite_or_zero(c).alias(c) for c in columns]))
-    corr = np.nan_to_num(Correlation.corr(vectors, "v").first()[0].toArray())
-    np.fill_diagonal(corr, 1.0)
+    corr = gram.total(parts).of(columns).correlations() if parts else np.eye(len(columns))
     left, rows = list(range(len(columns))), []
     while left:
         inflation = np.diag(np.linalg.pinv(corr[np.ix_(left, left)], hermitian=True)).clip(min=1.0)
@@ -155,7 +154,7 @@ def vif(matrix: DataFrame, columns: Sequence[str], limit: float = 10.0) -> DataF
         if rank < len(left):
             worst = _dependent(corr, left)
         rows.append((columns[left.pop(worst)], value, True))
-    return matrix.sparkSession.createDataFrame(rows, "feature string, vif double, dropped boolean")
+    return spark.createDataFrame(rows, "feature string, vif double, dropped boolean")
 
 
 def _dependent(corr, left: list[int]) -> int:

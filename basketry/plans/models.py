@@ -1,19 +1,24 @@
-"""Model fitting, comparison and tuning on MLlib."""
+"""Model fitting, comparison and tuning: linear models on one-scan moments, trees on MLlib."""
 
 from __future__ import annotations
 
 import random
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline
+import numpy as np
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
+from basketry.operators import gram
 from basketry.operators.sampling import fold_number
 from basketry.plans.metrics import regression_metrics
 
@@ -70,16 +75,51 @@ def assembled(columns: Sequence[str], estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), estimator])
 
 
+class LinePredictor(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A fitted linear model as a pipeline stage; it reads the feature columns themselves, without a vector."""
+
+    columns = Param(Params._dummy(), "columns", "feature columns", TypeConverters.toListString)
+    coefficients = Param(Params._dummy(), "coefficients", "a weight for each column", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "prediction where all features are 0", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, columns=None, coefficients=None, intercept=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def line(self) -> gram.Line:
+        return gram.Line(tuple(self.getOrDefault(self.columns)), np.array(self.getOrDefault(self.coefficients)),
+                         self.getOrDefault(self.intercept))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("prediction", self.line().prediction())
+
+
+def fit_lines(train: DataFrame, columns: Sequence[str], names: Sequence[str] = tuple(gram.SOLVERS),
+              label: str = "target_log") -> dict[str, PipelineModel]:
+    """The linear models of these names, all from one scan of the rows. Runs a Spark job."""
+    whole = gram.total(gram.moments(train.where(F.col(label).isNotNull()), [*columns, label]))
+    lines = {name: gram.SOLVERS[name](whole, label) for name in names}
+    return {name: PipelineModel([LinePredictor(
+        columns=list(line.columns), coefficients=line.coefficients.tolist(), intercept=line.intercept)])
+        for name, line in lines.items()}
+
+
+def measured(fitted: dict[str, Model], test: DataFrame) -> DataFrame:
+    """One metrics row for each model on the test rows."""
+    rows = None
+    for name, model in fitted.items():
+        scored = regression_metrics(model.transform(test), "target_log", "prediction")
+        row = scored.select(F.lit(name).alias("model"), *scored.columns)
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 def fit_and_measure(train: DataFrame, test: DataFrame, columns: Sequence[str],
                     models: dict[str, Estimator]) -> tuple[dict[str, Model], DataFrame]:
     """Fitted pipelines and one metrics row per model on the test rows."""
-    fitted, rows = {}, None
-    for name, estimator in models.items():
-        fitted[name] = assembled(columns, estimator).fit(train)
-        scored = regression_metrics(fitted[name].transform(test), "target_log", "prediction")
-        row = scored.select(F.lit(name).alias("model"), *scored.columns)
-        rows = row if rows is None else rows.unionByName(row)
-    return fitted, rows
+    fitted = {name: assembled(columns, estimator).fit(train) for name, estimator in models.items()}
+    return fitted, measured(fitted, test)
 
 
 def cross_validate(train: DataFrame, columns: Sequence[str], estimator: Estimator, key: str,

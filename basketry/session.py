@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,20 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's source to all executors, once for each application; Python tasks need it there."""
+    context = spark.sparkContext
+    if getattr(context, "_basketry_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="basketry-")).resolve() / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._basketry_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; a temporary one in local mode only."""
     sc = spark.sparkContext

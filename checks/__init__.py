@@ -4,6 +4,7 @@ import checks.relational  # noqa: F401
 import checks.profiling  # noqa: F401
 import checks.modelling  # noqa: F401
 import checks.closed_forms  # noqa: F401
+import checks.linear  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

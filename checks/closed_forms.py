@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.operators.sampling import fold_number, split_label
+from basketry.operators.sampling import split_label
 from basketry.plans import facts, features, metrics, models, scoring
 from basketry.session import checkpoint_dir
 from basketry.sources.tables import read_csv, read_parquet, write_csv, write_parquet
@@ -78,15 +78,7 @@ def _(t):
     SELECT count(*) AS folds, round(avg(mae), 5) AS mae_mean, round(stddev_pop(mae), 5) AS mae_std FROM e""")
 def _(t):
     rows = one_feature_rows(t)
-    mean, _ = models.cross_validate(rows, ["item_count"], models.linear(), "order_id")
-    # MLlib's deviation over folds is the sample one; folds are few, so it is taken from the folds' own errors.
-    errors = []
-    keyed = rows.withColumn("fold", fold_number("order_id", 5))
-    for fold in range(5):
-        fitted = models.assembled(["item_count"], models.linear()).fit(keyed.where(F.col("fold") != fold))
-        error = F.abs(F.col("target_log") - F.col("prediction"))
-        errors.append(fitted.transform(keyed.where(F.col("fold") == fold)).agg(F.avg(error)).first()[0])
-    spread = (sum((e - sum(errors) / 5) ** 2 for e in errors) / 5) ** 0.5
+    mean, spread = models.cross_validate(rows, ["item_count"], models.linear(), "order_id")
     return rows.sparkSession.createDataFrame([(5, round(mean, 5), round(spread, 5))], "folds int, mae_mean double, mae_std double")
 
 

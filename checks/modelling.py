@@ -330,21 +330,6 @@ def fitted_metrics(t, name, estimator):
     return models.fit_and_measure(train, test, MODEL_FEATURES, {name: estimator(train)})[1]
 
 
-@query("fit_linear")
-def _(t):
-    return fitted_metrics(t, "linear", lambda train: models.linear())
-
-
-@query("fit_ridge")
-def _(t):
-    return fitted_metrics(t, "ridge", lambda train: models.ridge(train))
-
-
-@query("fit_lasso")
-def _(t):
-    return fitted_metrics(t, "lasso", lambda train: models.lasso())
-
-
 @query("fit_forest")
 def _(t):
     return fitted_metrics(t, "forest", lambda train: models.forest(numTrees=10, maxDepth=6))
@@ -390,14 +375,6 @@ def _(t):
     return one_feature(t, lambda df: models.lasso(tol=1e-9))
 
 
-@query("cross_validate")
-def _(t):
-    train, _ = parts(t)
-    mean, std = models.cross_validate(train, MODEL_FEATURES, models.ridge(train), "order_id")
-    return train.sparkSession.createDataFrame([("ridge", 5, mean, std)],
-                                              "model string, folds int, mae_mean double, mae_std double")
-
-
 @query("score_residuals")
 def _(t):
     df = model_frame(t).withColumn("part", split_label("order_id"))
@@ -421,11 +398,6 @@ def _(t):
     return scoring.linear_contributions(test, "order_id", MODEL_FEATURES, fitted.stages[-1], means)
 
 
-@query("vif")
-def _(t):
-    return features.vif(model_frame(t), MODEL_FEATURES)
-
-
 def requests(t):
     """Scoring requests derived from the analysis dataset; some break the accepted ranges."""
     df = eda.eda_dataset(t)

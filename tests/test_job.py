@@ -31,6 +31,10 @@ def test_the_job_writes_all_reports(spark, t, tmp_path, monkeypatch):
     dropped = {f for f, r in inflation.items() if r.dropped}
     assert dropped and not dropped & set(matrix.columns)
     assert all(r.vif <= 10 for r in inflation.values() if not r.dropped)
+    folds = {r.model: r for r in spark.read.csv(f"{tmp_path}/cross_validation", header=True, inferSchema=True).collect()}
+    assert set(folds) == {"linear", "ridge", "lasso"} and all(r.folds == 5 for r in folds.values())
+    written = spark.read.parquet(f"{tmp_path}/predictions")
+    assert written.count() == {r.n for r in rows.values()}.pop()
     best = spark.read.parquet(f"{tmp_path}/model/metrics").first()
     assert best.r2_log == max(r.r2_log for r in rows.values())
     report = spark.read.json(f"{tmp_path}/drift_report").first()
