@@ -9,6 +9,7 @@ from basketry import fixed_values as fv
 from basketry.functions.labels import urban_flag
 from basketry.functions.numeric import money_mean, money_total
 from basketry.functions.temporal import calendar, whole_days
+from basketry.operators.asof import first_seen, totals_before
 from basketry.operators.ordered import first_per_key, order_history
 from basketry.operators.quantile import median, quantiles, scalars, unpivot
 
@@ -156,6 +157,50 @@ def category_price_stats(lines: DataFrame) -> DataFrame:
                  F.countDistinct("order_id").alias("cat_order_count")))
 
 
+def seller_stats_as_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The seller statistics of each order, from lines of orders bought strictly before it.
+
+    (order_id, seller_id, then as ``seller_stats``); the seller is that of the first line. A seller
+    without earlier sales has counts of 0 and no mean price.
+    """
+    when = orders.select("order_id", "order_purchase_timestamp")
+    timed = lines.join(when, "order_id")
+    time = "order_purchase_timestamp"
+    volume = timed.groupBy("seller_id", "order_id", time).agg(
+        F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"), F.count("price").alias("priced"),
+        F.count("*").alias("seller_item_count")).drop("order_id").withColumn("seller_order_count", F.lit(1).cast("long"))
+    breadth = first_seen(timed, "seller_id", "product_category_name_english", time, "seller_n_categories")
+    asked = primary_seller(lines).join(when, "order_id")
+    known = totals_before(volume.unionByName(breadth, allowMissingColumns=True), asked, "seller_id", time,
+                          ["seller_order_count", "cents", "priced", "seller_item_count", "seller_n_categories"])
+    return known.select("order_id", "seller_id", "seller_order_count",
+                        F.when(F.col("priced") > 0, F.col("cents") / F.col("priced") / 100.0).alias("seller_avg_price"),
+                        "seller_item_count", "seller_n_categories")
+
+
+def category_price_as_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The price statistics of each order's main category, from lines of orders bought strictly before it.
+
+    (order_id, primary_category, then as ``category_price_stats``). A category without earlier sales has
+    no mean price, deviation 0 and count 0. Sums are exact: cents, and their squares as decimals.
+    """
+    time = "order_purchase_timestamp"
+    when = orders.select("order_id", time)
+    cents = F.round(F.col("price") * 100).cast("long")
+    sold = lines.where(F.col("product_category_name_english").isNotNull()).join(when, "order_id").groupBy(
+        F.col("product_category_name_english").alias("primary_category"), "order_id", time).agg(
+        F.sum(cents).alias("cents"), F.sum(cents.cast("decimal(19,0)") * cents).alias("squares"),
+        F.count("price").alias("priced")).withColumn("cat_order_count", F.lit(1).cast("long"))
+    asked = order_category(lines).select("order_id", "primary_category").join(when, "order_id")
+    known = totals_before(sold, asked, "primary_category", time, ["cents", "squares", "priced", "cat_order_count"])
+    n, total = F.col("priced").cast("decimal(19,0)"), F.col("cents").cast("decimal(19,0)")
+    spread = (n * F.col("squares").cast("decimal(37,0)") - total * total).cast("double")
+    return known.select(
+        "order_id", "primary_category", F.when(F.col("priced") > 0, F.col("cents") / F.col("priced") / 100.0).alias("cat_avg_price"),
+        F.when(F.col("priced") > 1, F.sqrt(spread / (F.col("priced") * (F.col("priced") - 1.0))) / 100.0)
+        .otherwise(0.0).alias("cat_std_price"), "cat_order_count")
+
+
 def order_facts(lines: DataFrame) -> DataFrame:
     """Value, line count, main category and primary seller per order.
 

@@ -49,9 +49,12 @@ def drop_listed(df: DataFrame) -> DataFrame:
     return df.select(*kept)
 
 
-def merged_orders(t: Tables) -> DataFrame:
+def merged_orders(t: Tables, as_of: bool = False) -> DataFrame:
     """The star join before null filling.
 
+    Seller and category statistics take all lines, or with ``as_of`` for each order those of orders bought
+    before it.
+
     Facts keyed by order join first and share one hash partitioning. Customer,
     place, region index and profile fold into one customer table, so the orders
     move by customer once. Category, place and region tables are stored and counted, and broadcast
@@ -62,11 +65,8 @@ def merged_orders(t: Tables) -> DataFrame:
     lines = shared(facts.categorised_items(facts.dedup_items(t["items"]), products).drop(
         "shipping_limit_date"))
     by_order = shared(facts.order_facts(lines)).where(F.col("order_value") > 0)
-    by_category = hinted(*lookup(facts.category_price_stats(lines).withColumn(
-        "primary_category", F.col("product_category_name_english"))))
     centroids = hinted(*lookup(facts.geo_centroid(t["geolocation"])))
-    by_seller = facts.seller_stats(lines).join(
-        facts.seller_places(t["sellers"], centroids), "seller_id", "left")
+    places = facts.seller_places(t["sellers"], centroids)
 
     df = (orders.join(by_order, "order_id")
           .join(facts.rfm_features(orders), "order_id")
@@ -79,7 +79,18 @@ def merged_orders(t: Tables) -> DataFrame:
         by_order.join(orders.select("order_id"), "order_id", "left_semi"), orders, t["customers"])))
     people = customer_table(t, centroids, index)
     df = df.join(suffixed(people, [c for c in df.columns if c != "customer_id"], "_profile"), "customer_id")
-    df = df.join(by_category, "primary_category", "left").join(by_seller, "seller_id", "left")
+    if as_of:
+        bought = facts.dedup_orders(t["orders"])
+        by_category = facts.category_price_as_of(lines, bought).withColumnRenamed(
+            "primary_category", "product_category_name_english")
+        df = (df.join(by_category, "order_id", "left")
+              .join(facts.seller_stats_as_of(lines, bought).drop("seller_id"), "order_id", "left")
+              .join(places, "seller_id", "left"))
+    else:
+        by_category = hinted(*lookup(facts.category_price_stats(lines).withColumn(
+            "primary_category", F.col("product_category_name_english"))))
+        by_seller = facts.seller_stats(lines).join(places, "seller_id", "left")
+        df = df.join(by_category, "primary_category", "left").join(by_seller, "seller_id", "left")
     df = df.withColumns({
         "session_duration_min": minutes_between("session_start", "session_end"),
         "cust_seller_distance_km": haversine_km("geo_lat", "geo_lng", "seller_lat", "seller_lng"),
@@ -101,9 +112,12 @@ def customer_table(t: Tables, centroids: DataFrame, index: DataFrame) -> DataFra
                           "regional_price_index": F.coalesce("regional_price_index", F.lit(1.0))}))
 
 
-def modeling_dataset(t: Tables) -> DataFrame:
-    """One row per delivered or shipped order with a positive value, no nulls left."""
-    df = merged_orders(t)
+def modeling_dataset(t: Tables, as_of: bool = False) -> DataFrame:
+    """One row per delivered or shipped order with a positive value, no nulls left.
+
+    With ``as_of`` an order's seller and category statistics know only what was sold before it.
+    """
+    df = merged_orders(t, as_of)
     return fill_by_type(df, [c for c in df.columns if c not in _ALWAYS_SET])
 
 

@@ -9,6 +9,7 @@ from basketry.functions.temporal import parse_time
 from basketry.operators.nulls import fill_by_type, fill_median, null_profile
 from basketry.operators.sampling import stable_sample
 from basketry.plans import eda, facts, legacy, modeling, validation
+from checks import views
 from checks.registry import query, rounded
 
 # --- filters, fills, lookups
@@ -378,6 +379,39 @@ def _(t):
     return rounded(facts.category_price_stats(lines_of(t)), 4)
 
 
+def as_of_inputs(t):
+    return lines_of(t), facts.dedup_orders(t["orders"])
+
+
+_TIMED = """l AS (SELECT c.*, o.order_purchase_timestamp AS sold FROM v_cat_lines c JOIN v_orders o USING (order_id))"""
+
+
+@query("seller_stats_as_of", f"""
+    WITH {_TIMED}, q AS (SELECT order_id, seller_id, order_purchase_timestamp AS asked
+      FROM v_primary_seller JOIN v_orders USING (order_id))
+    SELECT q.order_id, q.seller_id, count(DISTINCT l.order_id) AS seller_order_count,
+      round(CAST(sum({views.cents('price')}) AS BIGINT) / count(price) / 1e2, 6) AS seller_avg_price,
+      count(l.order_id) AS seller_item_count, count(DISTINCT product_category_name_english) AS seller_n_categories
+    FROM q LEFT JOIN l ON l.seller_id = q.seller_id AND l.sold < q.asked GROUP BY ALL""")
+def _(t):
+    return rounded(facts.seller_stats_as_of(*as_of_inputs(t)))
+
+
+@query("category_price_as_of", f"""
+    WITH {_TIMED}, d AS (SELECT product_category_name_english AS category, sold, count(*) AS n, sum({views.cents('price')}) AS s,
+        sum(price * price) AS ss, count(DISTINCT order_id) AS orders FROM l WHERE category IS NOT NULL GROUP BY ALL),
+    w AS (SELECT category, sold, sum(n) OVER k AS n, CAST(sum(s) OVER k AS BIGINT) AS s, sum(ss) OVER k AS ss, sum(orders) OVER k AS orders
+      FROM d WINDOW k AS (PARTITION BY category ORDER BY sold ROWS UNBOUNDED PRECEDING)),
+    q AS (SELECT order_id, primary_category, order_purchase_timestamp AS asked FROM v_order_category JOIN v_orders USING (order_id))
+    SELECT q.order_id, primary_category, round(s / n / 1e2, 4) AS cat_avg_price,
+      CASE WHEN n > 1 THEN round(sqrt(greatest(ss - s / 1e2 * (s / 1e2) / n, 0) / (n - 1)), 2) ELSE 0 END AS cat_std_price,
+      CAST(coalesce(orders, 0) AS BIGINT) AS cat_order_count
+    FROM q ASOF LEFT JOIN w ON w.category = q.primary_category AND w.sold < q.asked""")
+def _(t):
+    found = facts.category_price_as_of(*as_of_inputs(t))
+    return found.withColumns({"cat_avg_price": F.round("cat_avg_price", 4), "cat_std_price": F.round("cat_std_price", 2)})
+
+
 @query("order_primary_category", "SELECT * FROM v_order_category")
 def _(t):
     return facts.order_category(lines_of(t))
