@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import gram
 from basketry.operators.sampling import fold_number, time_split
-from basketry.plans import drift, features, metrics, modeling, models, validation
+from basketry.plans import drift, features, metrics, modeling, models, scoring, validation
 from basketry.session import build_session, cut_lineage
 from basketry.sources.tables import read_commerce, save_model, write_csv, write_json, write_parquet
 
@@ -42,13 +42,12 @@ def compare_models(matrix: DataFrame, columns: Sequence[str], split: str = SPLIT
                    names: Sequence[str] | None = None) -> tuple[dict, DataFrame]:
     """Fitted pipelines, and a metrics row for each model on the rows from the split date on.
 
-    The linear models come from the moments of one scan, the others are MLlib's.
+    The linear models come from the moments of one scan, the trees are fitted one after another.
     """
     train, test = time_split(matrix, "order_purchase_timestamp", split)
-    known = models.estimators(train)
-    wanted = list(names or known)
+    wanted = list(names or (*gram.SOLVERS, *models.TREE_FITS))
     fitted = models.fit_lines(train, columns, [n for n in wanted if n in gram.SOLVERS])
-    fitted |= {n: models.assembled(columns, known[n]).fit(train) for n in wanted if n not in gram.SOLVERS}
+    fitted |= {n: models.TREE_FITS[n](train, columns) for n in wanted if n not in gram.SOLVERS}
     return fitted, models.measured({n: fitted[n] for n in wanted}, test)
 
 
@@ -79,10 +78,16 @@ def run(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, split: s
     write_parquet(metrics.residuals(fitted[name].transform(test), "target_log", "prediction", ["order_id"]),
                   f"{out}/predictions")
     save_model(fitted[name], best, f"{out}/model")
-    if hasattr(fitted[name].stages[-1], "featureImportances"):
-        write_csv(models.feature_importance(fitted[name], columns, train), f"{out}/feature_importance")
-
-    windows = cut_lineage(drift.labelled_by_time(matrix, "order_purchase_timestamp", split).select("is_ref", *columns))
+    watched = list(columns)
+    if name not in gram.SOLVERS:
+        importance = models.feature_importance(fitted[name], columns, train)
+        write_csv(importance, f"{out}/feature_importance")
+        watched = models.top_features(importance)
+    write_parquet(scoring.explained(fitted[name], test, columns, train), f"{out}/explanations")
+
+    scored = fitted[name].transform(drift.labelled_by_time(matrix, "order_purchase_timestamp", split))
+    windows = cut_lineage(scored.select("is_ref", *columns, "target_log", "prediction"))
+    write_csv(drift.ks_distance(windows, [*watched, "target_log", "prediction"]), f"{out}/feature_drift")
     scores = cut_lineage(drift.psi(windows, columns))
     write_csv(scores, f"{out}/drift_scores")
     write_json(drift.drift_report(scores), f"{out}/drift_report")

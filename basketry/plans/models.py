@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import random
 from collections.abc import Sequence
 
@@ -18,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry import fixed_values as fv
-from basketry.operators import gram
+from basketry.operators import gram, trees
 from basketry.operators.sampling import fold_number
 from basketry.plans.metrics import regression_metrics
+from basketry.session import ship_package
 
 _COLUMNS = {"featuresCol": "features", "labelCol": "target_log", "predictionCol": "prediction"}
 
@@ -60,16 +63,6 @@ def boosted(**options) -> GBTRegressor:
     return GBTRegressor(**_COLUMNS, **{**settings, **options})
 
 
-def boosted_tuned(**options) -> GBTRegressor:
-    """Boosted trees on squared error with the tuned settings."""
-    return GBTRegressor(**_COLUMNS, **{"lossType": "squared", "seed": 42, **fv.TUNED_BOOSTING, **options})
-
-
-def estimators(train: DataFrame, trees: dict | None = None, rounds: dict | None = None) -> dict[str, Estimator]:
-    return {"linear": linear(), "ridge": ridge(train), "lasso": lasso(),
-            "forest": forest(**(trees or {})), "boosted": boosted(**(rounds or {}))}
-
-
 def assembled(columns: Sequence[str], estimator: Estimator) -> Pipeline:
     """Vector assembly at the model edge, then the estimator."""
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), estimator])
@@ -105,6 +98,51 @@ def fit_lines(train: DataFrame, columns: Sequence[str], names: Sequence[str] = t
         for name, line in lines.items()}
 
 
+class EnsemblePredictor(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted boosted trees as a pipeline stage; the nodes are kept as text in a parameter."""
+
+    nodes = Param(Params._dummy(), "nodes", "columns, base and nodes of the trees", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, nodes=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @classmethod
+    def of(cls, ensemble: trees.Ensemble) -> EnsemblePredictor:
+        return cls(nodes=json.dumps({"columns": ensemble.columns, "base": ensemble.base,
+                                     "trees": [dataclasses.asdict(t) for t in ensemble.trees]}))
+
+    def ensemble(self) -> trees.Ensemble:
+        found = json.loads(self.getOrDefault(self.nodes))
+        return trees.Ensemble(found["columns"], found["base"], [trees.Tree(**t) for t in found["trees"]])
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        ship_package(dataset.sparkSession)
+        return dataset.withColumn("prediction", self.ensemble().prediction())
+
+
+# Boosting on absolute error, and on squared error with the tuned settings.
+ABSOLUTE = trees.Settings(rounds=300, rate=0.05, depth=6, row_share=0.8, column_share=0.8, loss="absolute")
+TUNED = trees.Settings(**fv.TUNED_TREES)
+
+
+def fit_boosted(train: DataFrame, columns: Sequence[str], settings: trees.Settings = ABSOLUTE,
+                label: str = "target_log", key: str = "order_id") -> PipelineModel:
+    """Boosted trees on gradient histograms. Runs Spark jobs, one for each level of each tree."""
+    return PipelineModel([EnsemblePredictor.of(trees.boost(train, columns, label, key, settings))])
+
+
+def fit_tuned(train: DataFrame, columns: Sequence[str], rounds: int | None = None) -> PipelineModel:
+    """The stored tuned settings, all of them; ``rounds`` may shorten the run."""
+    return fit_boosted(train, columns, dataclasses.replace(TUNED, rounds=rounds) if rounds else TUNED)
+
+
+# How each model of the comparison is fitted; the linear ones share one scan (``fit_lines``).
+TREE_FITS = {"forest": lambda train, columns: assembled(columns, forest()).fit(train),
+             "boosted": fit_boosted, "tuned": fit_tuned}
+
+
 def measured(fitted: dict[str, Model], test: DataFrame) -> DataFrame:
     """One metrics row for each model on the test rows."""
     rows = None
@@ -167,8 +205,11 @@ def tune(train: DataFrame, columns: Sequence[str], trials: int = 50, seed: int =
 
 def feature_importance(model: Model, columns: Sequence[str], train: DataFrame) -> DataFrame:
     """(feature, importance) of a tree pipeline, highest first; as many rows as features."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(w)) for c, w in zip(columns, weights)]
+    stage = model.stages[-1]
+    if isinstance(stage, EnsemblePredictor):
+        rows = list(stage.ensemble().importance().items())
+    else:
+        rows = [(c, float(w)) for c, w in zip(columns, stage.featureImportances.toArray())]
     return train.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature")
 

@@ -325,21 +325,6 @@ def parts(t):
     return time_split(model_frame(t), "order_purchase_timestamp", SPLIT)
 
 
-def fitted_metrics(t, name, estimator):
-    train, test = parts(t)
-    return models.fit_and_measure(train, test, MODEL_FEATURES, {name: estimator(train)})[1]
-
-
-@query("fit_forest")
-def _(t):
-    return fitted_metrics(t, "forest", lambda train: models.forest(numTrees=10, maxDepth=6))
-
-
-@query("fit_gbt")
-def _(t):
-    return fitted_metrics(t, "boosted", lambda train: models.boosted(maxIter=8, maxDepth=4, stepSize=0.3))
-
-
 _ONE_FEATURE = """x AS (SELECT CAST(item_count AS DOUBLE) AS x, ln(1 + order_value) AS y FROM v_kept_value),
     m AS (SELECT avg(x) AS mx, avg(y) AS my, count(*) AS n, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM x)"""
 
@@ -375,29 +360,6 @@ def _(t):
     return one_feature(t, lambda df: models.lasso(tol=1e-9))
 
 
-@query("score_residuals")
-def _(t):
-    df = model_frame(t).withColumn("part", split_label("order_id"))
-    fitted = models.assembled(MODEL_FEATURES, models.linear()).fit(df.where("part = 'train'"))
-    return metrics.residuals(fitted.transform(df.where("part = 'test'")), "target_log", "prediction", ["order_id"])
-
-
-@query("feature_importance")
-def _(t):
-    train, _ = parts(t)
-    fitted = models.assembled(MODEL_FEATURES, models.forest(numTrees=10, maxDepth=6)).fit(train)
-    return models.feature_importance(fitted, MODEL_FEATURES, train)
-
-
-@query("linear_contributions")
-def _(t):
-    train, test = parts(t)
-    fitted = models.assembled(MODEL_FEATURES, models.linear()).fit(train)
-    means = {r.feature: r["m"] for r in unpivot(train, MODEL_FEATURES).groupBy("feature").agg(
-        F.avg("value").alias("m")).collect()}
-    return scoring.linear_contributions(test, "order_id", MODEL_FEATURES, fitted.stages[-1], means)
-
-
 def requests(t):
     """Scoring requests derived from the analysis dataset; some break the accepted ranges."""
     df = eda.eda_dataset(t)
