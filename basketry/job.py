@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry import fixed_values as fv
 from basketry.operators import gram
 from basketry.operators.sampling import fold_number, time_split
 from basketry.plans import drift, features, metrics, modeling, models, scoring, validation
@@ -87,7 +88,9 @@ def run(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, split: s
 
     scored = fitted[name].transform(drift.labelled_by_time(matrix, "order_purchase_timestamp", split))
     windows = cut_lineage(scored.select("is_ref", *columns, "target_log", "prediction"))
-    write_csv(drift.ks_distance(windows, [*watched, "target_log", "prediction"]), f"{out}/feature_drift")
+    write_csv(drift.feature_tests(windows, [*watched, "target_log", "prediction"]), f"{out}/feature_drift")
+    raw = drift.labelled_by_time(data, "order_purchase_timestamp", split)
+    write_csv(drift.feature_tests(raw, [c for c in fv.ONE_HOT_COLUMNS if c in data.columns]), f"{out}/category_drift")
     scores = cut_lineage(drift.psi(windows, columns))
     write_csv(scores, f"{out}/drift_scores")
     write_json(drift.drift_report(scores), f"{out}/drift_report")

@@ -1,14 +1,17 @@
 """Exact quantiles per group, with linear interpolation, in one form for all sizes.
 
 1. The rows fold to (group, value, count), spread over all tasks by value.
-2. A sketch of each group's distinct values gives edges between which about equally many of them lie,
+2. A group with at most SMALL_GROUP distinct values is one weighted aggregate over these. Larger groups,
+   of which there can be few, go on.
+3. A sketch of each group's distinct values gives edges between which about equally many of them lie,
    wherever the values are: an outlier or an infinity widens no bin.
-3. Running counts over a group's few bins tell which bins hold a wanted rank, and only the values of
+4. Running counts over a group's few bins tell which bins hold a wanted rank, and only the values of
    those bins are ordered.
 
-A bin has at most (distinct values / bins) values and the sketch's error of a tenth of that, so no task
-orders a group whole. The sketch only sets the edges; the result is exact whatever they are. Null and
-NaN are one thing and count for nothing; a group without values has null quantiles. The plan is lazy.
+Both ways interpolate alike, so the result does not depend on the size. A bin has at most (distinct
+values / bins) values and the sketch's error of a tenth of that, so no task orders a large group whole.
+The sketch only sets the edges; the result is exact whatever they are. Null and NaN are one thing and
+count for nothing; a group without values has null quantiles.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.session import cut_lineage
+
+SMALL_GROUP = 50_000
 LEAST_BINS = 64
 MOST_BINS = 1024
 _ALL = "__all"
@@ -81,11 +87,34 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
               names: Sequence[str]) -> DataFrame:
     """Exact quantiles of ``value`` per group: keys plus one column per probability.
 
-    Every group comes out, with nulls if it has no value; without keys there is always one row.
+    Every group comes out, with nulls if it has no value; without keys there is always one row. With keys
+    it runs Spark jobs: the folded rows are stored, and groups with many distinct values are looked for.
     """
     by = list(keys) or [_ALL]
     base = df if keys else df.select(value).withColumn(_ALL, F.lit(0))
     counts = value_counts(base, by, value)
+    if not keys:  # one group of any size; one row, also where there is none to count
+        return _binned_quantiles(counts, by, probs, names).agg(*[F.max(name).alias(name) for name in names])
+    counts = cut_lineage(counts)  # several steps read the folded rows
+    marked = [F.col(k).alias(f"__{k}") for k in by]
+    large = counts.groupBy(*marked).agg(F.count("v").alias("__distinct")).where(
+        F.col("__distinct") > SMALL_GROUP).drop("__distinct")
+    shares = F.array(*[F.lit(float(p)) for p in probs])
+
+    def small(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*by).agg(F.percentile("v", shares, F.col("n")).alias("__q")).select(
+            *by, *[F.col("__q")[i].alias(name) for i, name in enumerate(names)])
+
+    if not large.limit(1).count():
+        return small(counts)
+    large = cut_lineage(large)
+    same = same_keys(counts, large, by)
+    return small(counts.join(large, same, "left_anti")).unionByName(
+        _binned_quantiles(counts.join(large, same, "left_semi"), by, probs, names))
+
+
+def _binned_quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """The quantiles of groups of any size from their value counts."""
     binned, edges = value_bins(counts, by)
 
     last = F.col("total") - 1
@@ -108,16 +137,11 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[fl
     for position, (low, high), name in zip(positions, ranks, names):
         lower = F.min(F.when(F.col("seen") > low, F.col("v")))
         upper = F.min(F.when(F.col("seen") > high, F.col("v")))
+        # As Spark's own percentile interpolates. Equal infinities have no difference.
         share = F.max(position - low)
-        # Equal infinities have no difference.
         found.append(F.when((lower == upper) | (share == 0), lower).otherwise(
-            lower + (upper - lower) * share).alias(name))
-    if not keys:
-        return ordered.agg(*found)
-    values = ordered.groupBy(*keys).agg(*found)
-    groups = edges.select(*[f"__{k}" for k in keys])
-    return groups.join(values, same_keys(values, groups, keys), "left").select(
-        *[F.col(f"__{k}").alias(k) for k in keys], *names)
+            F.max(high - position) * lower + share * upper).alias(name))
+    return ordered.groupBy(*by).agg(*found)
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from basketry.functions.temporal import calendar, whole_days
 from basketry.operators.asof import first_seen, totals_before
 from basketry.operators.ordered import first_per_key, order_history
 from basketry.operators.quantile import median, quantiles, scalars, unpivot
+from basketry.session import cut_lineage
 
 
 # --- cleaning -------------------------------------------------------------
@@ -315,6 +316,7 @@ def customer_order_count(rows: DataFrame, key: str = "customer_unique_id") -> Da
 
 def regional_price_index(values: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Median order value of each state relative to the overall median."""
+    values = cut_lineage(values.select("order_id", "order_value"))
     placed = (values.join(orders.select("order_id", "customer_id"), "order_id")
               .join(customers.select("customer_id", "customer_state"), "customer_id"))
     states = median(placed.where(F.col("customer_state").isNotNull()), ["customer_state"],

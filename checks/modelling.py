@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 from basketry import fixed_values as fv
 from basketry.operators import stats
 from basketry.operators.encode import fit_scaling, scale
-from basketry.operators.quantile import unpivot
-from basketry.operators.sampling import split_label, stable_sample, time_split
-from basketry.plans import drift, eda, facts, features, metrics, models, scoring, validation
+from basketry.operators.sampling import stable_sample, time_split
+from basketry.plans import drift, eda, facts, features, metrics, modeling, models, scoring, validation
 from basketry.session import cut_lineage
 from checks.profiling import _box_sql
+from checks.relational import MODEL_COLUMNS, modeling_sql
 from checks.registry import SPLIT, query, rounded
 
 # --- metrics on formula predictions: the customer's mean value (p) and mean log value (pl)
@@ -221,24 +221,25 @@ def _(t):
 
 # --- drift
 
-_DRIFT_FEATURES = ("order_value", "item_count", "freight_value", "monthly_income", "session_duration_min",
-                   "total_cart_qty", "avg_scroll")
+# Every numeric column of the modeling dataset, rounded as in its own query.
+_DRIFT_FEATURES = ("order_value", *(c for c in fv.NUMERIC_COLUMNS if c in MODEL_COLUMNS))
 
 
 def windows(t):
-    """Feature rows labelled by the split date, with one feature inflated after it."""
-    df = eda.eda_dataset(t).select("order_purchase_timestamp", *_DRIFT_FEATURES)
+    """All rows of the modeling dataset labelled by the split date, with one feature inflated after it."""
+    df = rounded(modeling.modeling_dataset(t), 4)
     rows = drift.labelled_by_time(df, "order_purchase_timestamp", SPLIT)
     return rows.withColumn("avg_scroll", F.col("avg_scroll") * F.when(F.col("is_ref"), 1.0).otherwise(1.5))
 
 
 def _long(where: str, avg_scroll: str) -> str:
     cells = [f"SELECT '{c}' AS feature, CAST({avg_scroll if c == 'avg_scroll' else c} AS DOUBLE) AS value "
-             f"FROM v_eda WHERE {where}" for c in _DRIFT_FEATURES]
+             f"FROM dataset WHERE {where}" for c in _DRIFT_FEATURES]
     return " UNION ALL ".join(cells)
 
 
-_DRIFT = f"""o AS ({_long("order_purchase_timestamp < TIMESTAMP '1999-06-01'", 'avg_scroll')}),
+_DRIFT = f"""dataset AS MATERIALIZED ({modeling_sql()}),
+    o AS ({_long("order_purchase_timestamp < TIMESTAMP '1999-06-01'", 'avg_scroll')}),
     c AS ({_long("order_purchase_timestamp >= TIMESTAMP '1999-06-01'", 'avg_scroll * 1.5e0')}),
     a AS (SELECT feature, value, 1 AS r FROM o WHERE value IS NOT NULL
       UNION ALL SELECT feature, value, 0 FROM c WHERE value IS NOT NULL)"""
@@ -261,7 +262,8 @@ def _(t):
 
 @query("drift_report", f"""
     WITH {_PSI} SELECT count(*) AS n_features, count(*) FILTER (WHERE psi > 0.25) AS n_drifted, round(max(psi), 6) AS max_psi,
-      (SELECT string_agg(feature, ',' ORDER BY psi DESC, feature DESC) FROM psi) AS top_features,
+      (SELECT string_agg(feature, ',' ORDER BY psi DESC, feature DESC)
+        FROM (SELECT * FROM psi ORDER BY psi DESC, feature DESC LIMIT 10)) AS top_features,
       0.25e0 AS drift_threshold, count(*) FILTER (WHERE psi > 0.25) > 0 AS retrain FROM psi""")
 def _(t):
     return rounded(drift.drift_report(drift.psi(windows(t), _DRIFT_FEATURES)))
@@ -289,6 +291,45 @@ def _(t):
     return rounded(drift.ks_distance(windows(t), _DRIFT_FEATURES))
 
 
+@query("numeric_drift_tests", f"""
+    WITH {_DRIFT}, v AS (SELECT feature, value, sum(r) AS x, sum(1 - r) AS y FROM a GROUP BY 1, 2),
+    k AS (SELECT feature, value, abs(sum(x) OVER w / sum(x) OVER (PARTITION BY feature)
+        - sum(y) OVER w / sum(y) OVER (PARTITION BY feature)) AS gap, lead(value) OVER (PARTITION BY feature ORDER BY value) AS after
+      FROM v WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)),
+    s AS (SELECT feature, stddev_pop(value) AS s, count(*) AS n FROM o WHERE value IS NOT NULL GROUP BY feature),
+    n AS (SELECT feature, count(*) FILTER (WHERE r = 0) AS m FROM a GROUP BY feature),
+    d AS (SELECT feature, n, m, max(gap) AS ks, sum(gap * (after - value)) AS wd, any_value(s) AS s
+      FROM k JOIN s USING (feature) JOIN n USING (feature) GROUP BY feature, n, m),
+    e AS (SELECT *, sqrt(n * m / (n + m)) * ks AS x FROM d)
+    SELECT feature, n AS n_ref, m AS n_cur, round(ks, 6) AS ks,
+      round(CASE WHEN x <= 0 THEN 1 ELSE 2 * list_sum([power(-1, k - 1) * exp(-2e0 * k * k * x * x) for k in range(1, 200)]) END, 5) AS ks_p,
+      round(coalesce(wd, 0), 6) AS wasserstein, CASE WHEN s > 0 THEN round(coalesce(wd, 0) / s, 6) END AS wasserstein_norm
+    FROM e""")
+def _(t):
+    found = drift.numeric_tests(windows(t), _DRIFT_FEATURES)
+    return rounded(found.withColumn("ks_p", F.round("ks_p", 5)))
+
+
+_CATEGORIES = tuple(c for c in fv.ONE_HOT_COLUMNS if c in MODEL_COLUMNS)
+_CATEGORY_ROWS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category, CAST(order_purchase_timestamp < TIMESTAMP '1999-06-01' AS INT) AS r FROM dataset"
+    for c in _CATEGORIES)
+
+
+@query("category_drift_tests", f"""
+    WITH dataset AS MATERIALIZED ({modeling_sql()}), x AS ({_CATEGORY_ROWS}),
+    c AS (SELECT feature, category, sum(r) AS r, sum(1 - r) AS c FROM x WHERE category IS NOT NULL GROUP BY ALL),
+    s AS (SELECT *, sum(r) OVER f AS n, sum(c) OVER f AS m FROM c WINDOW f AS (PARTITION BY feature)),
+    g AS (SELECT feature, n, m, CASE WHEN (r + c) / (n + m) * least(n, m) >= 5 THEN category END AS cell, sum(r) AS r, sum(c) AS c
+      FROM s GROUP BY ALL),
+    e AS (SELECT *, n * (r + c) / (n + m) AS er, m * (r + c) / (n + m) AS ec FROM g),
+    h AS (SELECT feature, n, m, count(*) AS cells, sum((r - er) * (r - er) / er + (c - ec) * (c - ec) / ec) AS chi2 FROM e GROUP BY ALL)
+    SELECT feature, CAST(n AS BIGINT) AS n_ref, CAST(m AS BIGINT) AS n_cur, cells,
+      CASE WHEN cells > 1 AND least(n, m) > 0 THEN round(chi2, 6) ELSE 0 END AS chi2 FROM h""")
+def _(t):
+    return rounded(drift.category_tests(windows(t), _CATEGORIES)).drop("chi2_p")
+
+
 @query("psi_sampled_batch", """
     WITH s AS (SELECT order_value * 1.1e0 AS v FROM v_value ORDER BY md5('123:' || order_id), order_id LIMIT 5000),
     e AS (SELECT quantile_cont(order_value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM v_value),

@@ -196,3 +196,22 @@ def test_splits_are_stable(spark):
     times = spark.createDataFrame([(dt.datetime(2018, 3, 31),), (dt.datetime(2018, 4, 1),)], "t timestamp_ntz")
     before, after = time_split(times, "t", "2018-04-01")
     assert (before.count(), after.count()) == (1, 1)
+
+
+@pytest.mark.parametrize("limit", [0, 3, 50_000])
+def test_quantiles_do_not_depend_on_the_group_limit(spark, monkeypatch, limit):
+    from basketry.operators import quantile
+    monkeypatch.setattr(quantile, "SMALL_GROUP", limit)
+    rng = random.Random(8)
+    rows = [(k, rng.choice([None, float("nan"), float("inf"), -1.5, *map(float, range(k))])) for k in (1, 2, 40) for _ in range(90)]
+    rows += [(None, 4.0), (None, 5.0), (7, None)]
+    found = {r.k: r for r in quantiles(spark.createDataFrame(rows, "k int, v double"), ["k"], "v", PROBS, NAMES).collect()}
+    assert set(found) == {1, 2, 40, 7, None} and found[7][NAMES[0]] is None
+    for k in (1, 2, 40, None):
+        values = [v for key, v in rows if key == k and v is not None and v == v]
+        for p, name in zip(PROBS, NAMES):
+            finite = sorted(values)
+            at = p * (len(finite) - 1)
+            low, high = finite[int(at)], finite[min(int(at) + 1, len(finite) - 1)]
+            want = low if low == high or at == int(at) else low + (high - low) * (at - int(at))
+            assert found[k][name] == pytest.approx(want, rel=1e-12)
