@@ -39,11 +39,11 @@ def outliers(df: DataFrame, x: str, reach: float = 3.0) -> DataFrame:
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
-    """Quartiles, whisker ends inside 1.5 IQR, and points beyond, per group."""
+    """Quartiles, whisker ends inside 1.5 IQR, and points beyond, per group. Stores the rows (a Spark job)."""
     present = number(x).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-    rows = df.where(present).select(*keys, x)
+    rows = cut_lineage(df.where(present).select(*keys, x))
     cuts = quantiles(rows, keys, x, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(x).between(F.col("q1") - reach, F.col("q3") + reach)

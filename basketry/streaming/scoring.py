@@ -18,8 +18,12 @@ def score_stream(requests: DataFrame, key: str, pre: Preprocessor, model: Pipeli
     leaves the same files.
     """
     def write(batch: DataFrame, number: int) -> None:
-        scored, rejected = score_orders(batch, key, pre, model)
-        scored.write.mode("overwrite").parquet(f"{scored_path}/batch={number}")
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
+        batch = batch.persist()  # read for both outputs; a lost part is read again from the source
+        try:
+            scored, rejected = score_orders(batch, key, pre, model)
+            scored.write.mode("overwrite").parquet(f"{scored_path}/batch={number}")
+            rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
+        finally:
+            batch.unpersist()
     return (requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -1,5 +1,7 @@
 """Model and report queries small enough that SQL has the same answer in closed form."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,7 +93,7 @@ def _(t):
 
 def _round_trip(t, name, write, read):
     rows = facts.order_value(facts.dedup_items(t["items"])).select("order_id", "order_value", "item_count")
-    path = f"{checkpoint_dir(rows.sparkSession)}/{name}"
+    path = f"{checkpoint_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
     write(rows, path)
     return read(rows.sparkSession, path, rows.schema)
 

@@ -142,6 +142,16 @@ def _(t):
         "order_id", F.array_join("actions", "|").alias("actions"))
 
 
+@query("residual_histogram", """
+    SELECT bin, round(min(lo) + (max(hi) - min(lo)) / 100 * bin, 4) AS low,
+      round(min(lo) + (max(hi) - min(lo)) / 100 * (bin + 1), 4) AS high, count(*) AS n
+    FROM (SELECT lo, hi, CAST(least(floor((x - lo) / (hi - lo) * 100), 99) AS INT) AS bin
+      FROM (SELECT x, min(x) OVER () AS lo, max(x) OVER () AS hi FROM (SELECT round(yl - pl, 9) AS x FROM v_pred_log))) GROUP BY bin""")
+def _(t):
+    found = metrics.residuals(predicted(t), "yl", "pl", ["order_id"]).select(F.round("residual_log", 9).alias("x"))
+    return rounded(stats.histogram(found, "x"), 4)
+
+
 # --- validation
 
 
@@ -194,6 +204,22 @@ def _(t):
     return rounded(validation.validate(timed(t)))
 
 
+@query("required_nulls", """
+    SELECT 'no nulls in required columns' AS "check", n = 0 AS passed, CAST(n AS DOUBLE) AS observed FROM (SELECT
+      (SELECT count(*) FROM v_sessions WHERE order_id % 4 = 0) + (SELECT count(*) FROM v_timed_items WHERE activity_id % 6 = 0)
+      + (SELECT count(*) FROM v_profile WHERE customer_id % 10 = 0) AS n)""")
+def _(t):
+    """The contract on tables where some required keys are missing."""
+    tables = timed(t)
+
+    def without(name, key, every):
+        return tables[name].withColumn(key, F.when(F.col(key) % every != 0, F.col(key)))
+
+    holes = {"sessions": tables["sessions"].withColumn("session_start", F.when(F.col("order_id") % 4 != 0, F.col("session_start"))),
+             "session_activity": without("session_activity", "activity_id", 6), "profile": without("profile", "customer_id", 10)}
+    return rounded(validation.validate({**tables, **holes}).where("check = 'no nulls in required columns'"))
+
+
 @query("domain_checks", """
     WITH p AS (SELECT count(*) FILTER (WHERE (loyalty_tier IN ('bronze', 'silver', 'gold', 'platinum')) IS NOT TRUE) AS b,
         stddev_samp(monthly_income) AS s, count(*) FILTER (WHERE gender = 'male') / count(*) AS m,

@@ -78,12 +78,12 @@ def _(t):
     return rounded(eda.segment_boxes(eda.eda_dataset(t), _BOX_SEGMENTS, "order_value"), 4)
 
 
-def _histogram_sql(x: str, tag: str) -> str:
+def _histogram_sql(x: str, tag: str, source: str = "v_delivered") -> str:
     return f"""
     SELECT '{tag}' AS scale, bin, round(min(lo) + (max(hi) - min(lo)) / 100 * bin, 4) AS low,
       round(min(lo) + (max(hi) - min(lo)) / 100 * (bin + 1), 4) AS high, count(*) AS n
     FROM (SELECT lo, hi, CAST(least(floor((x - lo) / (hi - lo) * 100), 99) AS INT) AS bin
-      FROM (SELECT {x} AS x, min({x}) OVER () AS lo, max({x}) OVER () AS hi FROM v_delivered)) GROUP BY bin"""
+      FROM (SELECT {x} AS x, min({x}) OVER () AS lo, max({x}) OVER () AS hi FROM {source})) GROUP BY bin"""
 
 
 @query("histogram_100", _histogram_sql("order_value", "raw"))
@@ -92,6 +92,36 @@ def _(t):
     return rounded(raw.select(F.lit("raw").alias("scale"), *raw.columns), 4)
 
 
+# Logs are rounded before they are binned, so that two engines agree on which side of an edge they lie.
+@query("histogram_log", _histogram_sql("round(ln(1 + order_value), 9)", "log"))
+def _(t):
+    rows = analysis(t).select(F.round(F.log1p("order_value"), 9).alias("x"))
+    found = stats.histogram(rows, "x")
+    return rounded(found.select(F.lit("log").alias("scale"), *found.columns), 4)
+
+
+_DENSITIES = (("item_count", "order_value"), ("monthly_income", "order_value"), ("session_duration_min", "order_value"),
+              ("total_cart_qty", "order_value"), ("n_product_views", "order_value"), ("avg_scroll", "order_value"))
+
+
+def _density_sql(x: str, y: str) -> str:
+    return f"""
+    SELECT '{x}' AS feature, CAST(least(floor((x - x0) / (x1 - x0) * 50), 49) AS INT) AS x_bin,
+      CAST(least(floor((y - y0) / (y1 - y0) * 50), 49) AS INT) AS y_bin, count(*) AS n
+    FROM (SELECT {x} AS x, {y} AS y, min({x}) OVER () AS x0, max({x}) OVER () AS x1, min({y}) OVER () AS y0, max({y}) OVER () AS y1
+      FROM v_delivered WHERE {x} IS NOT NULL AND {y} IS NOT NULL) GROUP BY ALL"""
+
+
+@query("densities", " UNION ALL ".join(_density_sql(x, y) for x, y in _DENSITIES))
+def _(t):
+    rows, found = cut_lineage(analysis(t).select(*dict.fromkeys(c for pair in _DENSITIES for c in pair))), None
+    for x, y in _DENSITIES:
+        cells = stats.density_2d(rows, x, y)
+        cells = cells.select(F.lit(x).alias("feature"), *cells.columns)
+        found = cells if found is None else found.unionByName(cells)
+    return found
+
+
 @query("density_2d", """
     WITH x AS (SELECT monthly_income AS x, order_value AS y, min(monthly_income) OVER () AS x0,
         max(monthly_income) OVER () AS x1, min(order_value) OVER () AS y0, max(order_value) OVER () AS y1

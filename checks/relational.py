@@ -74,19 +74,23 @@ def _(t):
 
 
 _PROFILED = ("order_id", "order_status", "order_approved_at", "review_score", "payment_type",
-             "payment_installments")
+             "payment_installments", "odd_score")
 
 
 @query("null_profile", """
-    WITH x AS (SELECT order_id, order_status, order_approved_at, review_score, payment_type, payment_installments
+    WITH x AS (SELECT order_id, order_status, order_approved_at, review_score, payment_type, payment_installments,
+        CASE order_id % 5 WHEN 0 THEN CAST('Infinity' AS DOUBLE) WHEN 1 THEN CAST('-Infinity' AS DOUBLE) ELSE review_score END AS odd_score
       FROM v_orders LEFT JOIN v_review USING (order_id) LEFT JOIN v_pay USING (order_id))
     """ + "\n    UNION ALL ".join(
-        f'SELECT \'{c}\' AS "column", count(*) - count({c}) AS nulls, CAST(0 AS BIGINT) AS infinities FROM x'
+        f'SELECT \'{c}\' AS "column", count(*) - count({c}) AS nulls, '
+        + (f"count(*) FILTER (WHERE isinf({c}))" if c in ("review_score", "odd_score") else "CAST(0 AS BIGINT)") + " AS infinities FROM x"
         for c in _PROFILED))
 def _(t):
+    far = F.lit(float("inf"))
+    odd = F.when(F.col("order_id") % 5 == 0, far).when(F.col("order_id") % 5 == 1, -far).otherwise(F.col("review_score"))
     return null_profile(
         t["orders"].join(facts.review_summary(t["reviews"]), "order_id", "left")
-        .join(facts.payment_summary(t["payments"]), "order_id", "left").select(*_PROFILED))
+        .join(facts.payment_summary(t["payments"]), "order_id", "left").withColumn("odd_score", odd).select(*_PROFILED))
 
 
 @query("translate_category", "SELECT * FROM v_products_en")
@@ -139,10 +143,25 @@ def _(t):
     return t["orders"].select("order_id", parse_time(text).alias("bought_at"))
 
 
-@query("dedup_orders", "SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM v_orders")
+_REPEATED = """WITH o AS (SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM v_orders),
+    r AS (SELECT * FROM o UNION ALL SELECT * FROM o WHERE order_id % 3 = 0
+      UNION ALL SELECT order_id, customer_id + 1, 'repeated', order_purchase_timestamp FROM o WHERE order_id % 5 = 0
+      UNION ALL SELECT order_id, customer_id, 'a first status', order_purchase_timestamp FROM o WHERE order_id % 7 = 0
+      UNION ALL SELECT order_id, customer_id, 'earlier', order_purchase_timestamp - INTERVAL 1 DAY FROM o WHERE order_id % 11 = 0)"""
+
+
+@query("dedup_orders", f"""
+    {_REPEATED} SELECT order_id, customer_id, order_status, order_purchase_timestamp FROM (SELECT *, row_number() OVER (
+      PARTITION BY order_id ORDER BY order_purchase_timestamp, customer_id, order_status) AS rn FROM r) WHERE rn = 1""")
 def _(t):
-    return facts.dedup_orders(t["orders"]).select(
-        "order_id", "customer_id", "order_status", "order_purchase_timestamp")
+    o = t["orders"].select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
+    at = F.col("order_purchase_timestamp")
+    repeated = (o.unionByName(o.where("order_id % 3 = 0"))
+                .unionByName(o.where("order_id % 5 = 0").withColumns({"customer_id": F.col("customer_id") + 1, "order_status": F.lit("repeated")}))
+                .unionByName(o.where("order_id % 7 = 0").withColumn("order_status", F.lit("a first status")))
+                .unionByName(o.where("order_id % 11 = 0").withColumns(
+                    {"order_status": F.lit("earlier"), "order_purchase_timestamp": at - F.expr("INTERVAL 1 DAY")})))
+    return facts.dedup_orders(repeated)
 
 
 @query("dedup_items", """
