@@ -6,7 +6,7 @@ from basketry import fixed_values as fv
 from basketry.operators import stats
 from basketry.operators.encode import fit_scaling, scale
 from basketry.operators.sampling import stable_sample, time_split
-from basketry.plans import drift, eda, facts, features, metrics, modeling, models, scoring, validation
+from basketry.plans import drift, eda, facts, features, metrics, modeling, models, scoring, sketches, validation
 from basketry.session import cut_lineage
 from checks.profiling import _box_sql
 from checks.relational import MODEL_COLUMNS, modeling_sql
@@ -286,6 +286,24 @@ def _(t):
     return rounded(drift.psi(windows(t), _DRIFT_FEATURES))
 
 
+_PSI_OF_VALUES = f"""{_DRIFT},
+    e AS (SELECT feature, quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM o GROUP BY feature),
+    b AS (SELECT a.feature, a.r, list_sum([CAST(a.value >= x AS INT) for x in e.edges]) AS bin FROM a JOIN e USING (feature)),
+    g AS (SELECT feature, unnest(range(10)) AS bin FROM (SELECT DISTINCT feature FROM b)),
+    n AS (SELECT g.feature, g.bin, count(*) FILTER (WHERE r = 1) + 1 AS x, count(*) FILTER (WHERE r = 0) + 1 AS y
+      FROM g LEFT JOIN b USING (feature, bin) GROUP BY 1, 2),
+    s AS (SELECT feature, x / sum(x) OVER (PARTITION BY feature) AS rp, y / sum(y) OVER (PARTITION BY feature) AS cp FROM n)"""
+
+
+@query("psi_from_sketches", f"""
+    WITH {_PSI_OF_VALUES} SELECT feature, round(sum((cp - rp) * ln(cp / rp)), 6) AS psi FROM s GROUP BY feature""")
+def _(t):
+    """Monthly sketches merged into both windows; of this size they are exact up to 65,535 rows a window."""
+    stored = cut_lineage(sketches.period_sketches(windows(t), "order_purchase_timestamp", _DRIFT_FEATURES, "month", 65_535))
+    before, after = sketches.merged(stored, last=SPLIT), sketches.merged(stored, first=SPLIT)
+    return rounded(sketches.psi_from_sketches(before, after))
+
+
 @query("drift_report", f"""
     WITH {_PSI} SELECT count(*) AS n_features, count(*) FILTER (WHERE psi > 0.25) AS n_drifted, round(max(psi), 6) AS max_psi,
       (SELECT string_agg(feature, ',' ORDER BY psi DESC, feature DESC)
