@@ -461,7 +461,8 @@ def request_model(t):
     """Preprocessor and linear model trained on rows shaped like scoring requests."""
     rows = cut_lineage(scoring.request_features(requests(t)).join(
         t["orders"].select("order_id", "order_purchase_timestamp"), "order_id").join(
-        facts.order_value(t["items"]).select("order_id", F.log1p("order_value").alias("target_log")), "order_id"))
+        facts.order_value(facts.dedup_items(t["items"])).select(
+            "order_id", F.log1p("order_value").alias("target_log")), "order_id"))
     pre = features.fit_preprocessor(rows, SPLIT)
     columns = pre.feature_names
     train, _ = time_split(rows, "order_purchase_timestamp", SPLIT)

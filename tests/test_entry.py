@@ -5,7 +5,7 @@ from tools.compare import compare, connect
 
 ORACLES = {k: v for k, v in contract.oracle_sql().items() if k not in contract.CORPUS_QUERIES}
 ROWS_ONLY = {"fit_linear", "fit_ridge", "fit_lasso", "fit_forest", "fit_gbt", "cross_validate", "score_residuals",
-             "feature_importance", "linear_contributions", "vif", "score_orders"}
+             "feature_importance", "linear_contributions", "vif", "score_orders", "fit_tuned"}
 
 
 def test_every_query_has_sql_but_the_model_fits():
