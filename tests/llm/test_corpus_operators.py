@@ -301,7 +301,7 @@ def test_grammar_reads_clauses():
                                                        [n, i, o, i], [a] + [o] * 6 + [i])}
     names = [None if k is None else toxicity.KINDS[k] for k in kinds.values()]
     assert names == [None, "insult", "insult_at_target", "insult_at_target", "insult_negated", "insult_reported", "threat",
-                     "threat_at_target", "insult_negated", "insult"] or names[8] == "insult"
+                     "threat_at_target", "insult_negated", "insult"]
 
 
 def test_toxicity_learns_words_and_stems(spark, odd):
