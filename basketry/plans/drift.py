@@ -31,6 +31,34 @@ def _long(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     return unpivot(rows, features, ["is_ref"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _edge_names(bins: int) -> list[str]:
+    return [f"e{i}" for i in range(1, bins)]
+
+
+def bin_edges(reference: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """(feature, e1, e2, ...): the inner edges of equally full bins."""
+    return quantiles(_long(reference, features), ["feature"], "value", [i / bins for i in range(1, bins)],
+                     _edge_names(bins))
+
+
+def _placed(long: DataFrame, edges: DataFrame, bins: int) -> DataFrame:
+    """Long rows with their bin: the number of inner edges not above the value."""
+    # One row of edges per feature: the list of features bounds it.
+    edges = edges.select("feature", *_edge_names(bins))
+    bin_no = sum(((F.col("value") >= F.col(e)).cast("int") for e in _edge_names(bins)), F.lit(0))
+    return long.join(F.broadcast(edges), "feature").withColumn("bin", bin_no)
+
+
+def _psi(bins: int) -> Column:
+    """The index from bin counts r0, r1, ... of the reference and c0, c1, ..., smoothed by one per bin."""
+    totals = {tag: sum((F.col(f"{tag}{i}") for i in range(bins)), F.lit(bins)) for tag in "rc"}
+    terms = []
+    for i in range(bins):
+        r, c = ((F.col(f"{tag}{i}") + 1) / totals[tag] for tag in "rc")
+        terms.append((c - r) * F.log(c / r))
+    return sum(terms[1:], terms[0])
+
+
 def psi(rows: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """(feature, psi): population stability over quantile bins of the reference rows.
 
@@ -40,24 +68,37 @@ def psi(rows: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     job), since edges and counts both read them.
     """
     rows = cut_lineage(rows.select("is_ref", *features))
-    names = [f"e{i}" for i in range(1, bins)]
-    edges = quantiles(_long(rows.where("is_ref"), features), ["feature"], "value",
-                      [i / bins for i in range(1, bins)], names)
-    # One row of edges per feature: the list of features bounds it.
-    long = _long(rows, features).join(F.broadcast(edges), "feature")
-    bin_no = sum(((F.col("value") >= F.col(e)).cast("int") for e in names), F.lit(0))
-    placed = long.select("feature", "is_ref", bin_no.alias("bin"))
-    counts = placed.groupBy("feature").agg(*[
+    edges = bin_edges(rows.where("is_ref"), features, bins)
+    counts = _placed(_long(rows, features), edges, bins).groupBy("feature").agg(*[
         F.count_if((F.col("bin") == i) & (F.col("is_ref") == side)).alias(f"{tag}{i}")
         for i in range(bins) for tag, side in (("r", True), ("c", False))])
-    terms = None
-    totals = {tag: sum((F.col(f"{tag}{i}") for i in range(bins)), F.lit(bins)) for tag in "rc"}
-    for i in range(bins):
-        r = (F.col(f"r{i}") + 1) / totals["r"]
-        c = (F.col(f"c{i}") + 1) / totals["c"]
-        term = (c - r) * F.log(c / r)
-        terms = term if terms is None else terms + term
-    return counts.select("feature", terms.alias("psi"))
+    return counts.select("feature", _psi(bins).alias("psi"))
+
+
+def reference_bins(reference: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """(feature, e1, ..., r0, r1, ...): edges and counts of the reference, to be stored. Runs a Spark job.
+
+    Any later rows are held against it without the reference rows. A feature without values has no row.
+    """
+    rows = cut_lineage(reference.select(*features).withColumn("is_ref", F.lit(True)))
+    edges = bin_edges(rows, features, bins)
+    counts = _placed(_long(rows, features), edges, bins).groupBy(F.col("feature").alias("f")).agg(*[
+        F.count_if(F.col("bin") == i).alias(f"r{i}") for i in range(bins)])
+    return edges.join(counts, F.col("feature") == F.col("f")).drop("f")
+
+
+def psi_against(long: DataFrame, reference: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., feature, n, psi) of long rows (keys' columns, feature, value) against stored reference bins.
+
+    Works on batch and streaming frames. A feature without values in a group, or not in the reference, has
+    no row there.
+    """
+    bins = sum(c.startswith("r") for c in reference.columns)
+    usable = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = _placed(usable, reference, bins).groupBy(*keys, "feature").agg(
+        F.count("*").alias("n"), *[F.count_if(F.col("bin") == i).alias(f"c{i}") for i in range(bins)])
+    known = F.broadcast(reference.select("feature", *[f"r{i}" for i in range(bins)]))  # a row a feature
+    return counts.join(known, "feature").select(*keys, "feature", "n", _psi(bins).alias("psi"))
 
 
 def drift_report(scores: DataFrame, limit: float = fv.PSI_THRESHOLD) -> DataFrame:

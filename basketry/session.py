@@ -64,6 +64,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The path of a new folder in the checkpoint folder; it goes away when the application ends."""
+    path = f"{checkpoint_dir(spark)}/basketry-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)  # only what exists can be marked
+    files.deleteOnExit(folder)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet in the checkpoint folder and read it back. Runs a Spark job.
 
@@ -71,10 +81,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     when the application ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/basketry-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/rows"
     df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
