@@ -58,8 +58,9 @@ def run(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, split: s
     write_json(validation.validate(tables), f"{out}/validation")
     if not validation.all_passed(spark.read.json(f"{out}/validation")):
         return False
-    write_json(modeling.cleaning_audit(tables), f"{out}/cleaning_audit")
-    write_parquet(modeling.modeling_dataset(tables), f"{out}/modeling_dataset")
+    counts = modeling.CleaningCounts()
+    write_parquet(modeling.modeling_dataset(tables, counts=counts), f"{out}/modeling_dataset")
+    write_json(modeling.counted_audit(spark, counts), f"{out}/cleaning_audit")
     data = spark.read.parquet(f"{out}/modeling_dataset")
     pre, matrix, columns, inflation = training_matrix(data, split)
     pre.save(f"{out}/preprocessor")

@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 _BUCKET = "__bucket"
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the row that sorts first in each key group (remaining columns break ties)."""
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None) -> DataFrame:
+    """Keep the row that sorts first in each key group (remaining columns break ties).
+
+    ``copies`` names a column with the number of rows of the group.
+    """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__row"))
-    return picked.select(*[c if c in keys else F.col(f"__row.{c}") for c in df.columns])
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__row"), F.count("*").alias("__n"))
+    return picked.select(*[c if c in keys else F.col(f"__row.{c}") for c in df.columns],
+                         *([F.col("__n").alias(copies)] if copies else []))
 
 
 def group_mode(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

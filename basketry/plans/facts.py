@@ -17,14 +17,14 @@ from basketry.session import cut_lineage
 
 # --- cleaning -------------------------------------------------------------
 
-def dedup_orders(orders: DataFrame) -> DataFrame:
+def dedup_orders(orders: DataFrame, copies: str | None = None) -> DataFrame:
     return first_per_key(orders, ["order_id"],
-                         ["order_purchase_timestamp", "customer_id", "order_status"])
+                         ["order_purchase_timestamp", "customer_id", "order_status"], copies)
 
 
-def dedup_items(items: DataFrame) -> DataFrame:
+def dedup_items(items: DataFrame, copies: str | None = None) -> DataFrame:
     return first_per_key(items, ["order_id", "order_item_id"],
-                         ["product_id", "seller_id", "price", "freight_value", "shipping_limit_date"])
+                         ["product_id", "seller_id", "price", "freight_value", "shipping_limit_date"], copies)
 
 
 def kept_orders(orders: DataFrame) -> DataFrame:

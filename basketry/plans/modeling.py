@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,22 +49,54 @@ def drop_listed(df: DataFrame) -> DataFrame:
     return df.select(*kept)
 
 
-def merged_orders(t: Tables, as_of: bool = False) -> DataFrame:
-    """The star join before null filling.
+class CleaningCounts:
+    """Row counts that the writes of the modeling dataset take along.
+
+    Each is observed in the stage that writes, after the last shuffle before it: such a stage counts each of
+    its tasks once, also when executors are lost. Repeated rows come there as a column of copies.
+    """
+
+    def __init__(self) -> None:
+        self._observed: list[Observation] = []
+
+    def watch(self, df: DataFrame, **metrics: Column) -> DataFrame:
+        """``df``, whose next write counts these aggregates."""
+        seen = Observation()
+        self._observed.append(seen)
+        return df.observe(seen, *[value.alias(name) for name, value in metrics.items()])
+
+    def values(self) -> dict[str, int]:
+        """All counts; waits for the writes."""
+        return {name: value or 0 for seen in self._observed for name, value in seen.get.items()}
+
+
+def _kept_and_counted(orders: DataFrame, lines: DataFrame, counts: CleaningCounts) -> tuple[DataFrame, DataFrame]:
+    copies, rows = F.sum("__copies"), F.count("*")
+    kept = F.count_if(F.col("order_status").isin(*fv.KEPT_STATUSES))
+    return (counts.watch(orders, orders=copies, unique_orders=rows, order_ids=F.count("order_id"), kept_orders=kept),
+            counts.watch(lines, lines=copies, unique_lines=rows))
+
+
+def merged_orders(t: Tables, as_of: bool = False, counts: CleaningCounts | None = None) -> DataFrame:
+    """The star join before null filling. Runs Spark jobs.
 
     Seller and category statistics take all lines, or with ``as_of`` for each order those of orders bought
-    before it.
+    before it. Orders, lines and facts by order are stored once, and these writes fill ``counts``.
 
     Facts keyed by order join first and share one hash partitioning. Customer,
     place, region index and profile fold into one customer table, so the orders
     move by customer once. Category, place and region tables are stored and counted, and broadcast
     if they are small, so a common category or region is no hot key.
     """
-    orders = facts.kept_orders(facts.with_approval(facts.dedup_orders(t["orders"])))
     products = facts.translated_products(t["products"], t["category_translation"])
-    lines = shared(facts.categorised_items(facts.dedup_items(t["items"]), products).drop(
-        "shipping_limit_date"))
-    by_order = shared(facts.order_facts(lines)).where(F.col("order_value") > 0)
+    bought = facts.dedup_orders(t["orders"], "__copies")
+    lines = facts.categorised_items(facts.dedup_items(t["items"], "__copies"), products).drop("shipping_limit_date")
+    if counts:
+        bought, lines = _kept_and_counted(bought, lines, counts)
+    bought, lines = shared(bought).drop("__copies"), shared(lines).drop("__copies")
+    orders = facts.kept_orders(facts.with_approval(bought))
+    by_order = facts.valued_orders(facts.order_facts(lines), orders)
+    by_order = shared(counts.watch(by_order, valued_orders=F.count("*")) if counts else by_order)
     centroids = hinted(*lookup(facts.geo_centroid(t["geolocation"])))
     places = facts.seller_places(t["sellers"], centroids)
 
@@ -75,12 +107,10 @@ def merged_orders(t: Tables, as_of: bool = False) -> DataFrame:
     sessions = t["sessions"].drop("customer_id")
     df = df.join(suffixed(sessions, [c for c in df.columns if c != "order_id"], "_session"), "order_id")
     df = df.join(facts.session_activity(t["session_activity"]), "session_id", "left")
-    index = hinted(*lookup(facts.regional_price_index(
-        by_order.join(orders.select("order_id"), "order_id", "left_semi"), orders, t["customers"])))
+    index = hinted(*lookup(facts.regional_price_index(by_order, orders, t["customers"])))
     people = customer_table(t, centroids, index)
     df = df.join(suffixed(people, [c for c in df.columns if c != "customer_id"], "_profile"), "customer_id")
     if as_of:
-        bought = facts.dedup_orders(t["orders"])
         by_category = facts.category_price_as_of(lines, bought).withColumnRenamed(
             "primary_category", "product_category_name_english")
         df = (df.join(by_category, "order_id", "left")
@@ -112,13 +142,29 @@ def customer_table(t: Tables, centroids: DataFrame, index: DataFrame) -> DataFra
                           "regional_price_index": F.coalesce("regional_price_index", F.lit(1.0))}))
 
 
-def modeling_dataset(t: Tables, as_of: bool = False) -> DataFrame:
-    """One row per delivered or shipped order with a positive value, no nulls left.
+def modeling_dataset(t: Tables, as_of: bool = False, counts: CleaningCounts | None = None) -> DataFrame:
+    """One row per delivered or shipped order with a positive value, no nulls left. Runs Spark jobs.
 
-    With ``as_of`` an order's seller and category statistics know only what was sold before it.
+    With ``as_of`` an order's seller and category statistics know only what was sold before it. With
+    ``counts``, write the result; ``counted_audit`` then has the cleaning audit without another scan.
     """
-    df = merged_orders(t, as_of)
-    return fill_by_type(df, [c for c in df.columns if c not in _ALWAYS_SET])
+    df = merged_orders(t, as_of, counts)
+    filled = fill_by_type(df, [c for c in df.columns if c not in _ALWAYS_SET])
+    return counts.watch(filled, dataset_rows=F.count("*")) if counts else filled
+
+
+# Step of the audit -> the counts before and after it.
+_STEPS = {"duplicate orders": ("orders", "unique_orders"), "duplicate items": ("lines", "unique_lines"),
+          "status filter": ("order_ids", "kept_orders"), "order value": ("orders", "valued_orders"),
+          "modeling dataset": ("orders", "dataset_rows")}
+
+
+def counted_audit(spark: SparkSession, counts: CleaningCounts) -> DataFrame:
+    """As ``cleaning_audit``, from the counts of a written modeling dataset; no percentage of nothing."""
+    found = counts.values()
+    rows = [(step, found[before], found[after]) for step, (before, after) in _STEPS.items()]
+    return spark.createDataFrame(rows, "step string, before long, after long").withColumn(
+        "kept_pct", F.try_divide(F.col("after") * 100.0, "before"))
 
 
 def cleaning_audit(t: Tables) -> DataFrame:

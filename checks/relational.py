@@ -9,6 +9,7 @@ from basketry.functions.temporal import parse_time
 from basketry.operators.nulls import fill_by_type, fill_median, null_profile
 from basketry.operators.sampling import stable_sample
 from basketry.plans import eda, facts, legacy, modeling, validation
+from basketry.session import cut_lineage
 from checks import views
 from checks.registry import query, rounded
 
@@ -287,7 +288,7 @@ def _(t):
     return rounded(modeling.modeling_dataset(t), 4)
 
 
-@query("cleaning_audit", """
+_AUDIT = """
     WITH s AS (
       SELECT 'duplicate orders' AS step, (SELECT count(*) FROM v_orders) AS before,
         (SELECT count(DISTINCT order_id) FROM v_orders) AS after
@@ -295,11 +296,22 @@ def _(t):
       UNION ALL SELECT 'status filter', (SELECT count(DISTINCT order_id) FROM v_orders), (SELECT count(*) FROM v_kept)
       UNION ALL SELECT 'order value', (SELECT count(*) FROM v_orders), (SELECT count(*) FROM v_kept_value)
       UNION ALL SELECT 'modeling dataset', (SELECT count(*) FROM v_orders), (SELECT count(*) FROM v_merged))
-    SELECT step, before, after, round(after * 100e0 / before, 6) AS kept_pct FROM s""")
+    SELECT step, before, after, round(after * 100e0 / before, 6) AS kept_pct FROM s"""
+
+
+@query("cleaning_audit", _AUDIT)
 def _(t):
     return rounded(modeling.cleaning_audit(t))
 
 
+@query("cleaning_audit_counted", _AUDIT)
+def _(t):
+    """The same figures from the writes of the dataset."""
+    counts = modeling.CleaningCounts()
+    written = cut_lineage(modeling.modeling_dataset(t, counts=counts))
+    return rounded(modeling.counted_audit(written.sparkSession, counts))
+
+
 EDA_COLUMNS = (
     "order_id", "order_status", "order_purchase_timestamp", "order_value", "freight_value", "item_count",
     "avg_item_price", "product_category_name", "product_category_name_english", "customer_unique_id",
