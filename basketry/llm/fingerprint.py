@@ -58,10 +58,16 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-def merge(sketches: DataFrame, by: list[str], column: str = "sketch") -> DataFrame:
-    """The sketch of several texts together, by keys: the union of theirs."""
-    return sketches.select(*by, F.explode(column).alias("hash")).distinct().groupBy(*by).agg(
-        F.array_sort(F.collect_list("hash")).alias(column))
+def merge(sketches: DataFrame, by: list[str], column: str = "sketch", below: str = BELOW) -> DataFrame:
+    """The sketch of several texts together, by keys: that of all their shingles.
+
+    It is the union of theirs without the least hashes that stood in for empty sketches, or, where all
+    are such, the least of them.
+    """
+    hashes = sketches.select(*by, F.explode(column).alias("hash")).distinct()
+    low = F.array_sort(F.collect_list(F.when(F.col("hash") < below, F.col("hash"))))
+    return hashes.groupBy(*by).agg(low.alias(column), F.min("hash").alias("__least")).withColumn(
+        column, F.when(F.size(column) == 0, F.array("__least")).otherwise(F.col(column))).drop("__least")
 
 
 def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

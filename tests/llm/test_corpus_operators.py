@@ -455,6 +455,19 @@ def test_sketches_merge(spark):
     assert merged == whole
 
 
+def test_short_texts_merge_to_the_sketch_of_the_whole(spark):
+    """Least hashes that stand in for empty sketches do not stay beside real ones."""
+    texts = [f"word{i} more{i} last{i}" for i in range(20)]
+    parts = spark.createDataFrame([(g, t) for g, part in (("all", texts), ("two", texts[:2])) for t in part] + [("none", "")],
+                                  "g string, text string")
+    merged = {r.g: r["sketch"] for r in fingerprint.merge(
+        parts.select("g", fingerprint.sketch(F.col("text")).alias("sketch")), ["g"]).collect()}
+    for g, part in (("all", texts), ("two", texts[:2])):
+        hashes = [hashlib.md5(t.encode()).hexdigest()[:fingerprint.HASH_DIGITS] for t in part]
+        assert merged[g] == (sorted(h for h in hashes if h < fingerprint.BELOW) or [min(hashes)])
+    assert 0 < len(merged["all"]) < 20 and "none" not in merged
+
+
 # Shards
 
 def test_shards(odd, empty, monkeypatch):
