@@ -59,7 +59,7 @@ def keep(df: DataFrame) -> DataFrame:
 
     Several passes then read the same rows, and none of them needs an executor that may be gone.
     """
-    return cut_lineage(df)
+    return cut_lineage(df, "snappy")
 
 
 def drop_kept(*frames: DataFrame) -> None:

@@ -14,16 +14,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "__bucket"
+BLOCK = 64
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], copies: str | None = None,
+                  numbered: str | None = None) -> DataFrame:
     """Keep the row that sorts first in each key group (remaining columns break ties).
 
-    ``copies`` names a column with the number of rows of the group.
+    ``copies`` names a column with the number of rows of the group. ``numbered`` names the key that numbers
+    the rows of the other keys: BLOCK neighbours of these then come out side by side, so that a sum over
+    them is combined before it moves, while a key with very many numbers still spreads over its blocks.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__row"), F.count("*").alias("__n"))
-    return picked.select(*[c if c in keys else F.col(f"__row.{c}") for c in df.columns],
+    by = list(keys)
+    if numbered:
+        by.append("__block")
+        df = df.withColumn("__block", F.floor(F.col(numbered) / BLOCK)).repartition(
+            *[k for k in keys if k != numbered], "__block")
+    picked = df.groupBy(*by).agg(F.min(F.struct(*order, *rest)).alias("__row"), F.count("*").alias("__n"))
+    return picked.select(*[c if c in keys else F.col(f"__row.{c}") for c in df.columns if c != "__block"],
                          *([F.col("__n").alias(copies)] if copies else []))
 
 

@@ -23,8 +23,10 @@ def dedup_orders(orders: DataFrame, copies: str | None = None) -> DataFrame:
 
 
 def dedup_items(items: DataFrame, copies: str | None = None) -> DataFrame:
-    return first_per_key(items, ["order_id", "order_item_id"],
-                         ["product_id", "seller_id", "price", "freight_value", "shipping_limit_date"], copies)
+    """One row per line; the lines of an order come out side by side. The shipping limit may be left out."""
+    order = ["product_id", "seller_id", "price", "freight_value", "shipping_limit_date"]
+    return first_per_key(items, ["order_id", "order_item_id"], [c for c in order if c in items.columns], copies,
+                         numbered="order_item_id")
 
 
 def kept_orders(orders: DataFrame) -> DataFrame:
@@ -113,17 +115,16 @@ def customer_places(customers: DataFrame, centroids: DataFrame) -> DataFrame:
 def seller_stats(lines: DataFrame) -> DataFrame:
     """Distinct orders, mean price, lines and category breadth per seller.
 
-    Distinct orders and distinct categories are two separate two-step
-    aggregates joined on the seller, so no row is expanded and a hot seller
-    spreads over its orders and categories.
+    Sums fold in place. Distinct orders and distinct categories are two
+    separate two-step aggregates joined on the seller, so no row is expanded
+    and a hot seller spreads over its orders and categories.
     """
-    volume = (lines.groupBy("seller_id", "order_id")
-              .agg(F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"),
-                   F.count("price").alias("priced"), F.count("*").alias("lines"))
-              .groupBy("seller_id")
-              .agg(F.count("order_id").alias("seller_order_count"),
-                   (F.sum("cents") / F.sum("priced") / 100.0).alias("seller_avg_price"),
-                   F.sum("lines").alias("seller_item_count")))
+    cents = F.sum(F.round(F.col("price") * 100).cast("long"))
+    sums = lines.groupBy("seller_id").agg(
+        (cents / F.count("price") / 100.0).alias("seller_avg_price"), F.count("*").alias("seller_item_count"))
+    orders = (lines.select("seller_id", "order_id").distinct().groupBy("seller_id")
+              .agg(F.count("order_id").alias("seller_order_count")))
+    volume = orders.join(sums, "seller_id")
     breadth = (lines.groupBy("seller_id", "product_category_name_english").agg(F.lit(1).alias("seen"))
                .groupBy("seller_id")
                .agg(F.count("product_category_name_english").alias("seller_n_categories")))
@@ -150,12 +151,18 @@ def categorised_items(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def category_price_stats(lines: DataFrame) -> DataFrame:
-    """Mean and sample deviation of price, and distinct orders, per category."""
-    return (lines.where(F.col("product_category_name_english").isNotNull())
-            .groupBy("product_category_name_english")
-            .agg(money_mean("price").alias("cat_avg_price"),
-                 F.coalesce(F.stddev_samp("price"), F.lit(0.0)).alias("cat_std_price"),
-                 F.countDistinct("order_id").alias("cat_order_count")))
+    """Mean and sample deviation of price, and distinct orders, per category.
+
+    Prices fold in place and only (category, order) pairs move: no row is expanded.
+    """
+    category = "product_category_name_english"
+    known = lines.where(F.col(category).isNotNull())
+    prices = known.groupBy(category).agg(
+        money_mean("price").alias("cat_avg_price"),
+        F.coalesce(F.stddev_samp("price"), F.lit(0.0)).alias("cat_std_price"))
+    orders = known.select(category, "order_id").distinct().groupBy(category).agg(
+        F.count("order_id").alias("cat_order_count"))
+    return prices.join(orders, category)
 
 
 def seller_stats_as_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -205,21 +212,18 @@ def category_price_as_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
 def order_facts(lines: DataFrame) -> DataFrame:
     """Value, line count, main category and primary seller per order.
 
-    Lines fold to (order, category) and then to the order: an order with very
-    many lines never meets in one task. The main category is the most frequent
-    one, the smallest on ties; the primary seller is that of the first line.
+    Sums fold where the lines lie, and for the categories only (order, category, count) moves: an order with
+    very many lines never meets in one task. The main category is the most frequent one, the smallest on
+    ties; the primary seller is that of the first line. Lines without an order are left out.
     """
-    cells = lines.groupBy("order_id", "product_category_name_english").agg(
-        F.count("*").alias("n"),
-        F.sum(F.round(F.col("price") * 100).cast("long")).alias("cents"),
-        F.sum(F.round(F.col("freight_value") * 100).cast("long")).alias("freight_cents"),
-        F.min(F.struct("order_item_id", "product_id", "seller_id")).alias("first_line"))
-    price = F.coalesce(F.sum("cents"), F.lit(0))
-    freight = F.coalesce(F.sum("freight_cents"), F.lit(0))
-    return cells.groupBy("order_id").agg(
+    price = F.coalesce(F.sum(F.round(F.col("price") * 100).cast("long")), F.lit(0))
+    freight = F.coalesce(F.sum(F.round(F.col("freight_value") * 100).cast("long")), F.lit(0))
+    first_line = F.min(F.struct("order_item_id", "seller_id"))  # one line of each number
+    totals = lines.groupBy("order_id").agg(
         ((price + freight) / 100.0).alias("order_value"), (freight / 100.0).alias("freight_value"),
-        F.sum("n").alias("item_count"), *_main_category(),
-        F.min("first_line").getField("seller_id").alias("seller_id"))
+        F.count("*").alias("item_count"), first_line.getField("seller_id").alias("seller_id"))
+    return totals.join(order_category(lines), "order_id").select(
+        "order_id", "order_value", "freight_value", "item_count", "primary_category", "n_categories", "seller_id")
 
 
 def order_category(lines: DataFrame) -> DataFrame:
@@ -331,7 +335,7 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     """Payment count, first type by sequence, and most installments per order."""
     return payments.groupBy("order_id").agg(
         F.count("*").alias("n_payments"),
-        F.min_by("payment_type", F.struct("payment_sequential", "payment_type")).alias("payment_type"),
+        F.min(F.struct("payment_sequential", "payment_type")).getField("payment_type").alias("payment_type"),
         F.max("payment_installments").alias("payment_installments"))
 
 

@@ -83,14 +83,15 @@ def merged_orders(t: Tables, as_of: bool = False, counts: CleaningCounts | None
     Seller and category statistics take all lines, or with ``as_of`` for each order those of orders bought
     before it. Orders, lines and facts by order are stored once, and these writes fill ``counts``.
 
-    Facts keyed by order join first and share one hash partitioning. Customer,
-    place, region index and profile fold into one customer table, so the orders
-    move by customer once. Category, place and region tables are stored and counted, and broadcast
-    if they are small, so a common category or region is no hot key.
+    Every column moves by order once. What has another key is looked up before that, on narrow rows:
+    customer, place, region index and profile (folded into one customer table) for the bare orders, seller
+    and category for the order facts, and the activity for the pairs of session and order. Category, place
+    and region tables are stored and counted, and broadcast if they are small, so a common category or
+    region is no hot key.
     """
     products = facts.translated_products(t["products"], t["category_translation"])
     bought = facts.dedup_orders(t["orders"], "__copies")
-    lines = facts.categorised_items(facts.dedup_items(t["items"], "__copies"), products).drop("shipping_limit_date")
+    lines = facts.categorised_items(facts.dedup_items(t["items"].drop("shipping_limit_date"), "__copies"), products)
     if counts:
         bought, lines = _kept_and_counted(bought, lines, counts)
     bought, lines = shared(bought).drop("__copies"), shared(lines).drop("__copies")
@@ -100,34 +101,49 @@ def merged_orders(t: Tables, as_of: bool = False, counts: CleaningCounts | None
     centroids = hinted(*lookup(facts.geo_centroid(t["geolocation"])))
     places = facts.seller_places(t["sellers"], centroids)
 
-    df = (orders.join(by_order, "order_id")
-          .join(facts.rfm_features(orders), "order_id")
-          .join(facts.payment_summary(t["payments"]), "order_id", "left")
-          .join(facts.review_summary(t["reviews"]), "order_id", "left"))
-    sessions = t["sessions"].drop("customer_id")
-    df = df.join(suffixed(sessions, [c for c in df.columns if c != "order_id"], "_session"), "order_id")
-    df = df.join(facts.session_activity(t["session_activity"]), "session_id", "left")
+    rfm, paid = facts.rfm_features(orders), facts.payment_summary(t["payments"])
+    reviewed = facts.review_summary(t["reviews"])
     index = hinted(*lookup(facts.regional_price_index(by_order, orders, t["customers"])))
-    people = customer_table(t, centroids, index)
-    df = df.join(suffixed(people, [c for c in df.columns if c != "customer_id"], "_profile"), "customer_id")
     if as_of:
         by_category = facts.category_price_as_of(lines, bought).withColumnRenamed(
             "primary_category", "product_category_name_english")
-        df = (df.join(by_category, "order_id", "left")
-              .join(facts.seller_stats_as_of(lines, bought).drop("seller_id"), "order_id", "left")
-              .join(places, "seller_id", "left"))
+        sold = (by_order.join(by_category, "order_id", "left")
+                .join(facts.seller_stats_as_of(lines, bought).join(places, "seller_id", "left").drop("seller_id"),
+                      "order_id", "left"))
     else:
         by_category = hinted(*lookup(facts.category_price_stats(lines).withColumn(
             "primary_category", F.col("product_category_name_english"))))
         by_seller = facts.seller_stats(lines).join(places, "seller_id", "left")
-        df = df.join(by_category, "primary_category", "left").join(by_seller, "seller_id", "left")
-    df = df.withColumns({
+        sold = by_order.join(by_category, "primary_category", "left").join(by_seller, "seller_id", "left")
+
+    own = [c for df in (orders, by_order, rfm, paid, reviewed) for c in df.columns if c != "order_id"]
+    sessions = active_sessions(suffixed(t["sessions"].drop("customer_id"), own, "_session"), t["session_activity"])
+    taken = [c for c in (*own, "order_id", *sessions.columns) if c != "customer_id"]
+    people = suffixed(customer_table(t, centroids, index), taken, "_profile")
+    df = (orders.join(people, "customer_id").join(sold, "order_id").join(rfm, "order_id")
+          .join(paid, "order_id", "left").join(reviewed, "order_id", "left").join(sessions, "order_id"))
+    first = ["seller_id", "primary_category", "customer_id", "session_id", "order_id"]
+    last = [c for c in (*taken, *people.columns, *sold.columns) if c not in first]
+    df = df.select(*dict.fromkeys([*first, *last])).withColumns({
         "session_duration_min": minutes_between("session_start", "session_end"),
         "cust_seller_distance_km": haversine_km("geo_lat", "geo_lng", "seller_lat", "seller_lng"),
     })
     return drop_listed(df)
 
 
+def active_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
+    """Sessions with their activity, joined by order; nulls for a session without activity.
+
+    The activity is looked up for the few columns of the (order, session) pairs, so that the wide sessions
+    move by order only. There the session is a condition beside the key, as an order has few sessions.
+    """
+    pairs = sessions.select("order_id", "session_id").distinct()
+    found = pairs.join(facts.session_activity(activity), "session_id").withColumnsRenamed(
+        {"order_id": "__order", "session_id": "__session"})
+    same = (sessions["session_id"] <= found["__session"]) & (sessions["session_id"] >= found["__session"])
+    return sessions.join(found, (sessions["order_id"] == found["__order"]) & same, "left").drop("__order", "__session")
+
+
 def customer_table(t: Tables, centroids: DataFrame, index: DataFrame) -> DataFrame:
     """Customers with place, region price index (1 where unknown) and profile."""
     customers = t["customers"].select("customer_id", "customer_unique_id", "customer_state",

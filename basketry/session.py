@@ -17,6 +17,8 @@ RUNTIME_CONFS = {
     # Split a hot join key even when that costs a later re-shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # HotSpot never compiles a longer method; wide rows then run interpreted. Above it Spark splits the code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -74,7 +76,7 @@ def scratch_folder(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Write ``df`` once as parquet in the checkpoint folder and read it back. Runs a Spark job.
 
     Later passes then scan only the columns they need, and survive lost executors. The copy goes away
@@ -82,7 +84,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/rows"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
