@@ -23,7 +23,7 @@ from basketry import fixed_values as fv
 from basketry.operators import gram, trees
 from basketry.operators.sampling import fold_number
 from basketry.plans.metrics import regression_metrics
-from basketry.session import ship_package
+from basketry.session import cut_lineage, ship_package
 
 _COLUMNS = {"featuresCol": "features", "labelCol": "target_log", "predictionCol": "prediction"}
 
@@ -162,8 +162,11 @@ def fit_and_measure(train: DataFrame, test: DataFrame, columns: Sequence[str],
 
 def cross_validate(train: DataFrame, columns: Sequence[str], estimator: Estimator, key: str,
                    folds: int = 5, parallelism: int = 4) -> tuple[float, float]:
-    """Mean and population deviation of the log-space MAE over hash folds of the key."""
-    keyed = train.withColumn("fold", fold_number(key, folds))
+    """Mean and population deviation of the log-space MAE over hash folds of the key.
+
+    The columns are stored first, since each fold is trained on and measured. Runs Spark jobs.
+    """
+    keyed = cut_lineage(train.select(*columns, "target_log", fold_number(key, folds).alias("fold")))
     cv = CrossValidator(
         estimator=assembled(columns, estimator), estimatorParamMaps=[{}], numFolds=folds,
         evaluator=RegressionEvaluator(labelCol="target_log", metricName="mae"),
