@@ -17,8 +17,6 @@ RUNTIME_CONFS = {
     # Split a hot join key even when that costs a later re-shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    # HotSpot never compiles a longer method; wide rows then run interpreted. Above it Spark splits the code.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
