@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry import fixed_values as fv
-from basketry.operators.quantile import attach_row, number, quantiles, unpivot, value_bins
+from basketry.operators.quantile import attach_row, quantiles, quantiles_of_counts, unpivot, value_bins
 from basketry.session import cut_lineage, ship_package
 
 
@@ -31,6 +31,12 @@ def _long(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     return unpivot(rows, features, ["is_ref"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _folded(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, v, n, r): distinct values with their rows and those of the reference, stored. Reads the rows once."""
+    return cut_lineage(_long(rows, features).groupBy("feature", F.col("value").alias("v")).agg(
+        F.count("*").alias("n"), F.count_if("is_ref").alias("r")))
+
+
 def _edge_names(bins: int) -> list[str]:
     return [f"e{i}" for i in range(1, bins)]
 
@@ -63,15 +69,16 @@ def psi(rows: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """(feature, psi): population stability over quantile bins of the reference rows.
 
     A value's bin is the number of inner edges not above it, so repeated edges
-    give empty bins. Counts are smoothed by one per bin. The rows fold to one
-    row of bin counts per feature before anything is shuffled. The columns are stored first (a Spark
-    job), since edges and counts both read them.
+    give empty bins. Counts are smoothed by one per bin. The rows are read once: they fold to distinct values
+    with counts, which are stored (a Spark job), and edges and bin counts come from these.
     """
-    rows = cut_lineage(rows.select("is_ref", *features))
-    edges = bin_edges(rows.where("is_ref"), features, bins)
-    counts = _placed(_long(rows, features), edges, bins).groupBy("feature").agg(*[
-        F.count_if((F.col("bin") == i) & (F.col("is_ref") == side)).alias(f"{tag}{i}")
-        for i in range(bins) for tag, side in (("r", True), ("c", False))])
+    values = _folded(rows, features)
+    edges = quantiles_of_counts(values.where("r > 0").select("feature", "v", F.col("r").alias("n")), ["feature"],
+                                [i / bins for i in range(1, bins)], _edge_names(bins))
+    sizes = {"r": F.col("r"), "c": F.col("n") - F.col("r")}
+    counts = _placed(values.withColumnRenamed("v", "value"), edges, bins).groupBy("feature").agg(*[
+        F.coalesce(F.sum(F.when(F.col("bin") == i, size)), F.lit(0)).alias(f"{tag}{i}")
+        for i in range(bins) for tag, size in sizes.items()])
     return counts.select("feature", _psi(bins).alias("psi"))
 
 
@@ -126,9 +133,8 @@ def numeric_tests(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     that is 0). Null and NaN are left out; with a window empty the figures are null, and a feature without
     any value has no row. A gap that reaches to an infinite value makes the distance infinite.
     """
-    counts = (_long(rows, features).groupBy("feature", F.col("value").alias("v"))
-              .agg(F.count("*").alias("n"), F.count_if("is_ref").alias("r")))
-    binned, _ = value_bins(cut_lineage(counts), ["feature"])
+    counts = _folded(rows, features)
+    binned, _ = value_bins(counts, ["feature"])
     binned = binned.withColumn("c", F.col("n") - F.col("r"))
     by_bin = Window.partitionBy("feature").orderBy("bin")
     lower, whole = by_bin.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("feature")
@@ -147,15 +153,23 @@ def numeric_tests(rows: DataFrame, features: Sequence[str]) -> DataFrame:
         F.col("gap") * (F.col("next") - F.col("v")))
     found = gaps.groupBy("feature").agg(F.max("r_all").alias("n_ref"), F.max("c_all").alias("n_cur"),
                                         F.max("gap").alias("ks"), F.sum(way).alias("wasserstein"))
-    # One row of deviations, made long: the list of features bounds it.
-    spread = rows.where("is_ref").agg(*[F.stddev_pop(number(c)).alias(c) for c in features]).unpivot(
-        [], list(features), "feature", "deviation")
+    spread = _deviations(counts.where("r > 0"))  # a row a feature: their list bounds it
     size = F.sqrt(F.try_divide(F.col("n_ref").cast("double") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur")))
     return found.join(F.broadcast(spread), "feature", "left").select(
         "feature", "n_ref", "n_cur", "ks", kolmogorov_tail(size * F.col("ks")).alias("ks_p"), "wasserstein",
         F.when(F.col("deviation") > 0, F.col("wasserstein") / F.col("deviation")).alias("wasserstein_norm"))
 
 
+def _deviations(values: DataFrame) -> DataFrame:
+    """(feature, deviation): the reference's population deviation, from its distinct values around their mean."""
+    def mean(x: Column) -> Column:
+        return F.sum(F.col("r") * x) / F.sum("r")
+    middle = values.groupBy(F.col("feature").alias("f")).agg(mean(F.col("v")).alias("middle"))
+    off = F.col("v") - F.col("middle")
+    return values.join(F.broadcast(middle), F.col("feature") == F.col("f")).groupBy("feature").agg(
+        F.sqrt(mean(off * off)).alias("deviation"))
+
+
 def kolmogorov_tail(x: Column) -> Column:
     """The chance that the limit of the scaled KS distance exceeds x: two series, each where it converges fast."""
     near = sum((F.exp(-F.lit((2 * k - 1) ** 2 * math.pi ** 2 / 8) / (x * x)) for k in range(1, 6)), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -172,14 +172,17 @@ def customer_table(t: Tables, centroids: DataFrame, index: DataFrame) -> DataFra
 
 
 def modeling_dataset(t: Tables, as_of: bool = False, counts: CleaningCounts | None = None,
-                     order_count: bool = False) -> DataFrame:
+                     order_count: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per delivered or shipped order with a positive value, no nulls left. Runs Spark jobs.
 
     With ``as_of`` an order's seller and category statistics know only what was sold before it. With
     ``counts``, write the result; ``counted_audit`` then has the cleaning audit without another scan. With
     ``order_count`` it has ``customer_order_count`` too, so that the features need not move the rows by customer.
+    With ``columns`` the rows are the same, but only these columns are moved through the joins, stored and filled.
     """
     df = merged_orders(t, as_of, counts, order_count)
+    if columns is not None:
+        df = df.select(*columns)
     filled = fill_by_type(df, [c for c in df.columns if c not in _ALWAYS_SET])
     return counts.watch(filled, dataset_rows=F.count("*")) if counts else filled
 

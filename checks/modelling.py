@@ -251,11 +251,12 @@ def _(t):
 _DRIFT_FEATURES = ("order_value", *(c for c in fv.NUMERIC_COLUMNS if c in MODEL_COLUMNS))
 
 
-def windows(t):
-    """All rows of the modeling dataset labelled by the split date, with one feature inflated after it."""
-    df = rounded(modeling.modeling_dataset(t), 4)
+def windows(t, columns):
+    """These columns of all rows of the modeling dataset, labelled by the split date, with one feature inflated after it."""
+    df = rounded(modeling.modeling_dataset(t, columns=["order_purchase_timestamp", *columns]), 4)
     rows = drift.labelled_by_time(df, "order_purchase_timestamp", SPLIT)
-    return rows.withColumn("avg_scroll", F.col("avg_scroll") * F.when(F.col("is_ref"), 1.0).otherwise(1.5))
+    inflated = F.col("avg_scroll") * F.when(F.col("is_ref"), 1.0).otherwise(1.5)
+    return rows.withColumn("avg_scroll", inflated) if "avg_scroll" in columns else rows
 
 
 def _long(where: str, avg_scroll: str) -> str:
@@ -283,7 +284,7 @@ _PSI = f"""{_DRIFT},
 
 @query("psi", f"WITH {_PSI} SELECT feature, round(psi, 6) AS psi FROM psi")
 def _(t):
-    return rounded(drift.psi(windows(t), _DRIFT_FEATURES))
+    return rounded(drift.psi(windows(t, _DRIFT_FEATURES), _DRIFT_FEATURES))
 
 
 _PSI_OF_VALUES = f"""{_DRIFT},
@@ -299,7 +300,7 @@ _PSI_OF_VALUES = f"""{_DRIFT},
     WITH {_PSI_OF_VALUES} SELECT feature, round(sum((cp - rp) * ln(cp / rp)), 6) AS psi FROM s GROUP BY feature""")
 def _(t):
     """Monthly sketches merged into both windows; of this size they are exact up to 65,535 rows a window."""
-    stored = cut_lineage(sketches.period_sketches(windows(t), "order_purchase_timestamp", _DRIFT_FEATURES, "month", 65_535))
+    stored = cut_lineage(sketches.period_sketches(windows(t, _DRIFT_FEATURES), "order_purchase_timestamp", _DRIFT_FEATURES, "month", 65_535))
     before, after = sketches.merged(stored, last=SPLIT), sketches.merged(stored, first=SPLIT)
     return rounded(sketches.psi_from_sketches(before, after))
 
@@ -310,7 +311,7 @@ def _(t):
         FROM (SELECT * FROM psi ORDER BY psi DESC, feature DESC LIMIT 10)) AS top_features,
       0.25e0 AS drift_threshold, count(*) FILTER (WHERE psi > 0.25) > 0 AS retrain FROM psi""")
 def _(t):
-    return rounded(drift.drift_report(drift.psi(windows(t), _DRIFT_FEATURES)))
+    return rounded(drift.drift_report(drift.psi(windows(t, _DRIFT_FEATURES), _DRIFT_FEATURES)))
 
 
 @query("retrain_decision", f"""
@@ -322,7 +323,7 @@ def _(t):
       (SELECT count(*) FROM psi WHERE psi > 0.25) > 0 OR count(*) FILTER (WHERE wape > 18) > 0 AS retrain FROM w""")
 def _(t):
     rolling = metrics.rolling_wape(predicted(t), "order_purchase_timestamp", "y", "p")
-    return drift.retrain_decision(drift.psi(windows(t), _DRIFT_FEATURES), rolling)
+    return drift.retrain_decision(drift.psi(windows(t, _DRIFT_FEATURES), _DRIFT_FEATURES), rolling)
 
 
 @query("ks_drift", f"""
@@ -332,7 +333,7 @@ def _(t):
       FROM v WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING))
     SELECT feature, round(max(abs(f - g)), 6) AS ks FROM k GROUP BY feature""")
 def _(t):
-    return rounded(drift.ks_distance(windows(t), _DRIFT_FEATURES))
+    return rounded(drift.ks_distance(windows(t, _DRIFT_FEATURES), _DRIFT_FEATURES))
 
 
 @query("numeric_drift_tests", f"""
@@ -350,7 +351,7 @@ def _(t):
       round(coalesce(wd, 0), 6) AS wasserstein, CASE WHEN s > 0 THEN round(coalesce(wd, 0) / s, 6) END AS wasserstein_norm
     FROM e""")
 def _(t):
-    found = drift.numeric_tests(windows(t), _DRIFT_FEATURES)
+    found = drift.numeric_tests(windows(t, _DRIFT_FEATURES), _DRIFT_FEATURES)
     return rounded(found.withColumn("ks_p", F.round("ks_p", 5)))
 
 
@@ -371,7 +372,7 @@ _CATEGORY_ROWS = " UNION ALL ".join(
     SELECT feature, CAST(n AS BIGINT) AS n_ref, CAST(m AS BIGINT) AS n_cur, cells,
       CASE WHEN cells > 1 AND least(n, m) > 0 THEN round(chi2, 6) ELSE 0 END AS chi2 FROM h""")
 def _(t):
-    return rounded(drift.category_tests(windows(t), _CATEGORIES)).drop("chi2_p")
+    return rounded(drift.category_tests(windows(t, _CATEGORIES), _CATEGORIES)).drop("chi2_p")
 
 
 @query("psi_sampled_batch", """
