@@ -13,18 +13,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators.quantile import unpivot
-
 SIZE = 400
 
 
 def period_sketches(df: DataFrame, time: str, features: Sequence[str], unit: str = "day", size: int = SIZE) -> DataFrame:
-    """(period, feature, n, sketch) of the numeric columns. Null and NaN, and rows without a time, are left out."""
-    rows = df.withColumn("period", F.date_trunc(unit, F.col(time)).cast("date"))
-    long = unpivot(rows, features, ["period"]).where(
-        F.col("period").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy("period", "feature").agg(
+    """(period, feature, n, sketch) of the numeric columns. Null and NaN, and rows without a time, are left out.
+
+    Sketches are too many to be held all at once, so Spark sorts the values by group. The group is one whole
+    number (day and place of the feature), which Spark sorts by its digits, not by comparing dates and texts.
+    """
+    day = F.unix_date(F.date_trunc(unit, F.col(time)).cast("date")).cast("long")
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    long = df.where(F.col(time).isNotNull()).select(day.alias("day"), F.posexplode(values).alias("at", "value")).where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+    width = len(features)
+    found = long.groupBy((F.col("day") * width + F.col("at")).alias("slot")).agg(
         F.count("*").alias("n"), F.kll_sketch_agg_double("value", F.lit(size)).alias("sketch"))
+    at = F.pmod("slot", F.lit(width))
+    return found.select(F.date_from_unix_date(((F.col("slot") - at) / width).cast("int")).alias("period"),
+                        F.get(F.array(*map(F.lit, features)), at.cast("int")).alias("feature"), "n", "sketch")
 
 
 def add_period(df: DataFrame, time: str, features: Sequence[str], period: str, path: str, unit: str = "day",

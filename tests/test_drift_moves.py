@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from basketry.operators.quantile import value_bins, value_counts
-from basketry.plans import drift, modeling
+from basketry.plans import drift, modeling, sketches
 from basketry.session import configure
 from checks.registry import Tables
 
@@ -34,6 +34,15 @@ def test_norm_comes_from_the_folded_values(spark):
     assert math.isclose(found.wasserstein_norm, found.wasserstein / math.sqrt(2))
 
 
+def test_sketch_groups_are_one_number(spark):
+    rows = spark.sql("SELECT timestamp_ntz'1969-12-15' + make_dt_interval(id) AS t, id AS a, CAST(id % 3 AS DOUBLE) AS b FROM range(60)")
+    found = sketches.period_sketches(rows, "t", ["a", "b"], "month")
+    assert "keys=[slot" in plan_of(found) or "keys=[_groupingexpression" in plan_of(found)
+    assert "Expand" not in plan_of(found)
+    assert sorted((str(r.period), r.feature, r.n) for r in found.collect()) == [
+        (month, c, n) for month, n in (("1969-12-01", 17), ("1970-01-01", 31), ("1970-02-01", 12)) for c in "ab"]
+
+
 def test_bins_are_the_edges_below(spark):
     df = spark.range(5000).select(F.lit(1).alias("k"), (F.col("id") % 900).cast("double").alias("v"))
     for bins in (2, 64, 1024):
