@@ -57,8 +57,9 @@ def fill_by_type(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
     Arrays and maps become empty ones; structs and binaries stay. NaN is as null. The rows are read three
     times (null counts, fills, result), so they are written to the checkpoint folder first: this runs
-    Spark jobs. Medians and modes are computed only for columns that hold nulls. Listed numbers come out
-    as doubles. A column without any value keeps its nulls.
+    Spark jobs. Medians and modes are computed only for columns that hold nulls, and stored as one row, so
+    the result may be read several times. Listed numbers come out as doubles. A column without any value
+    keeps its nulls.
     """
     columns = list(columns or df.columns)
     kinds = {f.name: f.dataType for f in df.schema}
@@ -76,7 +77,7 @@ def fill_by_type(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not holes:
         return df.withColumns(out)
     out.update({c: F.coalesce(out.get(c, F.col(c)), F.col(f"__fill.{c}")) for c in holes})
-    row = _fill_row(df, [c for c in numbers if c in holes], [c for c in times if c in holes])
+    row = cut_lineage(_fill_row(df, [c for c in numbers if c in holes], [c for c in times if c in holes]))
     return attach_row(df, row, "__fill").withColumns(out).drop("__fill")
 
 

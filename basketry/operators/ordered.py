@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "__bucket"
+_SLOT = "__slot"
 BLOCK = 64
 
 
@@ -92,22 +93,24 @@ def order_history(df: DataFrame, key: str, time: str, tie: str, unit: str = "hou
     """Add first time, previous time and sequence number of each row within its key.
 
     One bucketed pass serves all three. Buckets are short, so a key (or the null key) with a large share
-    of all rows is spread over its hours.
+    of all rows is spread over its hours. Key and bucket are one struct, never null itself, so that the
+    rows move once for their order, their summary and the join with the state of the earlier buckets.
     """
-    rows = _with_bucket(df, time, unit)
-    inside = Window.partitionBy(key, _BUCKET).orderBy(time, tie)
-    across = Window.partitionBy(key).orderBy(_BUCKET)
+    slot, bucket = F.col(_SLOT), F.date_trunc(unit, F.col(time))
+    rows = df.withColumn(_SLOT, F.struct(F.col(key).alias("key"), bucket.alias("bucket"))).drop(key).repartition(slot)
+    inside = Window.partitionBy(_SLOT).orderBy(time, tie)
+    across = Window.partitionBy(slot["key"]).orderBy(slot["bucket"])
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    summary = (
-        rows.groupBy(key, _BUCKET)
-        .agg(F.count("*").alias("__n"), F.min(time).alias("__min"), F.max(time).alias("__max"))
-        .select(key, _BUCKET, F.sum("__n").over(before).alias("__earlier"),
+    last = F.max(F.struct(time, tie))[time]  # the tie is read here too, or the summary would move rows of its own
+    state = (
+        rows.groupBy(_SLOT).agg(F.count("*").alias("__n"), F.min(time).alias("__min"), last.alias("__max"))
+        .select(slot.alias("__s"), F.sum("__n").over(before).alias("__earlier"),
                 F.min("__min").over(across).alias("__first"),
                 F.lag("__max").over(across).alias("__carried")))
     ranked = rows.withColumn("__at", F.row_number().over(inside)).withColumn(
         "__lag", F.lag(time).over(inside))
-    return _carry(ranked, key, summary).withColumns({
-        "first_at": F.col("__first"),
-        "previous_at": F.when(F.col("__at") == 1, F.col("__carried")).otherwise(F.col("__lag")),
-        "sequence_no": F.col("__at") + F.coalesce("__earlier", F.lit(0)),
-    }).drop("__at", "__lag", "__earlier", "__first", "__carried", _BUCKET)
+    return ranked.join(state, ranked[_SLOT] == state["__s"], "left").select(
+        *[slot["key"].alias(c) if c == key else F.col(c) for c in df.columns],
+        F.col("__first").alias("first_at"),
+        F.when(F.col("__at") == 1, F.col("__carried")).otherwise(F.col("__lag")).alias("previous_at"),
+        (F.col("__at") + F.coalesce("__earlier", F.lit(0))).alias("sequence_no"))

@@ -150,18 +150,19 @@ def categorised_items(items: DataFrame, products: DataFrame) -> DataFrame:
     return items.join(english, "product_id", "left")
 
 
-def category_price_stats(lines: DataFrame) -> DataFrame:
+def category_price_stats(lines: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """Mean and sample deviation of price, and distinct orders, per category.
 
-    Prices fold in place and only (category, order) pairs move: no row is expanded.
+    Prices fold in place and only (category, order) pairs move: no row is expanded. With the lines' stored
+    ``category_cells`` not even these move.
     """
     category = "product_category_name_english"
     known = lines.where(F.col(category).isNotNull())
     prices = known.groupBy(category).agg(
         money_mean("price").alias("cat_avg_price"),
         F.coalesce(F.stddev_samp("price"), F.lit(0.0)).alias("cat_std_price"))
-    orders = known.select(category, "order_id").distinct().groupBy(category).agg(
-        F.count("order_id").alias("cat_order_count"))
+    pairs = known.select(category, "order_id").distinct() if cells is None else cells.where(F.col(category).isNotNull())
+    orders = pairs.groupBy(category).agg(F.count("order_id").alias("cat_order_count"))
     return prices.join(orders, category)
 
 
@@ -209,12 +210,13 @@ def category_price_as_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
         .otherwise(0.0).alias("cat_std_price"), "cat_order_count")
 
 
-def order_facts(lines: DataFrame) -> DataFrame:
+def order_facts(lines: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """Value, line count, main category and primary seller per order.
 
     Sums fold where the lines lie, and for the categories only (order, category, count) moves: an order with
     very many lines never meets in one task. The main category is the most frequent one, the smallest on
-    ties; the primary seller is that of the first line. Lines without an order are left out.
+    ties; the primary seller is that of the first line. Lines without an order are left out. With
+    ``category_cells`` the lines need no category, so they may lie as the dedup left them.
     """
     price = F.coalesce(F.sum(F.round(F.col("price") * 100).cast("long")), F.lit(0))
     freight = F.coalesce(F.sum(F.round(F.col("freight_value") * 100).cast("long")), F.lit(0))
@@ -222,14 +224,19 @@ def order_facts(lines: DataFrame) -> DataFrame:
     totals = lines.groupBy("order_id").agg(
         ((price + freight) / 100.0).alias("order_value"), (freight / 100.0).alias("freight_value"),
         F.count("*").alias("item_count"), first_line.getField("seller_id").alias("seller_id"))
-    return totals.join(order_category(lines), "order_id").select(
+    main = (category_cells(lines) if cells is None else cells).groupBy("order_id").agg(*_main_category())
+    return totals.join(main, "order_id").select(
         "order_id", "order_value", "freight_value", "item_count", "primary_category", "n_categories", "seller_id")
 
 
 def order_category(lines: DataFrame) -> DataFrame:
     """Most frequent category per order (smallest on ties) and category count."""
-    cells = lines.groupBy("order_id", "product_category_name_english").agg(F.count("*").alias("n"))
-    return cells.groupBy("order_id").agg(*_main_category())
+    return category_cells(lines).groupBy("order_id").agg(*_main_category())
+
+
+def category_cells(lines: DataFrame) -> DataFrame:
+    """(order_id, category, n): the lines of each category in each order."""
+    return lines.groupBy("order_id", "product_category_name_english").agg(F.count("*").alias("n"))
 
 
 def _main_category() -> list[Column]:

@@ -69,6 +69,12 @@ def matrix_input(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*dict.fromkeys(c for c in read if c in df.columns))
 
 
+def matrix_sources(keep: Sequence[str] = ()) -> list[str]:
+    """The columns of the modeling dataset that the features and the encoders read, and ``keep``."""
+    return list(dict.fromkeys((*keep, "order_purchase_timestamp", "order_value", "birth_date", "customer_order_count",
+                               *fv.ONE_HOT_COLUMNS, *fv.TARGET_ENCODED_COLUMNS, *fv.NUMERIC_COLUMNS, *fv.BOOLEAN_COLUMNS)))
+
+
 @dataclass
 class Preprocessor:
     """Fitted encoders: level lists, a target-mean table and a one-row scaler."""

@@ -78,27 +78,34 @@ def _kept_and_counted(orders: DataFrame, lines: DataFrame, counts: CleaningCount
 
 
 def merged_orders(t: Tables, as_of: bool = False, counts: CleaningCounts | None = None,
-                  order_count: bool = False) -> DataFrame:
+                  order_count: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
     """The star join before null filling. Runs Spark jobs.
 
     Seller and category statistics take all lines, or with ``as_of`` for each order those of orders bought
     before it. Orders, lines and facts by order are stored once, and these writes fill ``counts``. With
-    ``order_count`` each row has the number of rows of its customer, counted on keys alone.
+    ``order_count`` each row has the number of rows of its customer, counted on keys alone. ``columns``
+    leaves only these.
 
     Every column moves by order once. What has another key is looked up before that, on narrow rows:
     customer, place, region index and profile (folded into one customer table) for the bare orders, seller
     and category for the order facts, and the activity for the pairs of session and order. Category, place
     and region tables are stored and counted, and broadcast if they are small, so a common category or
-    region is no hot key.
+    region is no hot key. Lines are stored as the dedup leaves them, an order's side by side, for the sums by
+    order, and what the statistics read of them again with its category.
     """
     products = facts.translated_products(t["products"], t["category_translation"])
-    bought = facts.dedup_orders(t["orders"], "__copies")
-    lines = facts.categorised_items(facts.dedup_items(t["items"].drop("shipping_limit_date"), "__copies"), products)
+    unread = [c for c in fv.DROPPED_COLUMNS if c != "order_approved_at"]
+    bought = facts.dedup_orders(t["orders"].drop(*unread), "__copies")
+    single = facts.dedup_items(t["items"].drop("shipping_limit_date"), "__copies")
     if counts:
-        bought, lines = _kept_and_counted(bought, lines, counts)
-    bought, lines = shared(bought).drop("__copies"), shared(lines).drop("__copies")
+        bought, single = _kept_and_counted(bought, single, counts)
+    bought, single = shared(bought).drop("__copies"), shared(single).drop("__copies")
+    read = ["order_id", "product_id", "seller_id", "price", *(["order_item_id"] if as_of else [])]
+    lines = facts.categorised_items(single.select(*read), products)
+    lines = shared(lines if as_of else lines.drop("product_id"))
+    cells = shared(facts.category_cells(lines))
     orders = facts.kept_orders(facts.with_approval(bought))
-    by_order = facts.valued_orders(facts.order_facts(lines), orders)
+    by_order = facts.valued_orders(facts.order_facts(single, cells), orders)
     by_order = shared(counts.watch(by_order, valued_orders=F.count("*")) if counts else by_order)
     centroids = hinted(*lookup(facts.geo_centroid(t["geolocation"])))
     places = facts.seller_places(t["sellers"], centroids)
@@ -113,26 +120,29 @@ def merged_orders(t: Tables, as_of: bool = False, counts: CleaningCounts | None
                 .join(facts.seller_stats_as_of(lines, bought).join(places, "seller_id", "left").drop("seller_id"),
                       "order_id", "left"))
     else:
-        by_category = hinted(*lookup(facts.category_price_stats(lines).withColumn(
+        by_category = hinted(*lookup(facts.category_price_stats(lines, cells).withColumn(
             "primary_category", F.col("product_category_name_english"))))
         by_seller = facts.seller_stats(lines).join(places, "seller_id", "left")
         sold = by_order.join(by_category, "primary_category", "left").join(by_seller, "seller_id", "left")
 
+    minutes = {"session_duration_min": minutes_between("session_start", "session_end")}
     own = [c for df in (orders, by_order, rfm, paid, reviewed) for c in df.columns if c != "order_id"]
     sessions = active_sessions(suffixed(t["sessions"].drop("customer_id"), own, "_session"), t["session_activity"])
+    if columns is not None and not {"session_start", "session_end"} & set(columns):
+        sessions, minutes = sessions.withColumns(minutes).drop("session_start", "session_end"), {}  # one column moves, not two
     taken = [c for c in (*own, "order_id", *sessions.columns) if c != "customer_id"]
     people = suffixed(customer_table(t, centroids, index), taken, "_profile")
     if order_count:
-        people = people.join(rows_by_customer(t, orders, by_order, sessions), "customer_unique_id", "left")
+        people = people.join(rows_by_customer(t, orders, by_order, t["sessions"]), "customer_unique_id", "left")
     df = (orders.join(people, "customer_id").join(sold, "order_id").join(rfm, "order_id")
           .join(paid, "order_id", "left").join(reviewed, "order_id", "left").join(sessions, "order_id"))
     first = ["seller_id", "primary_category", "customer_id", "session_id", "order_id"]
     last = [c for c in (*taken, *people.columns, *sold.columns) if c not in first]
     df = df.select(*dict.fromkeys([*first, *last])).withColumns({
-        "session_duration_min": minutes_between("session_start", "session_end"),
+        **minutes,
         "cust_seller_distance_km": haversine_km("geo_lat", "geo_lng", "seller_lat", "seller_lng"),
     })
-    return drop_listed(df)
+    return drop_listed(df) if columns is None else drop_listed(df).select(*columns)
 
 
 def rows_by_customer(t: Tables, orders: DataFrame, by_order: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -150,7 +160,7 @@ def active_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
     The activity is looked up for the few columns of the (order, session) pairs, so that the wide sessions
     move by order only. There the session is a condition beside the key, as an order has few sessions.
     """
-    pairs = sessions.select("order_id", "session_id").distinct()
+    pairs = sessions.select("order_id", "session_id").where(F.col("session_id").isNotNull()).repartition("session_id").distinct()
     found = pairs.join(facts.session_activity(activity), "session_id").withColumnsRenamed(
         {"order_id": "__order", "session_id": "__session"})
     same = (sessions["session_id"] <= found["__session"]) & (sessions["session_id"] >= found["__session"])
@@ -180,9 +190,7 @@ def modeling_dataset(t: Tables, as_of: bool = False, counts: CleaningCounts | No
     ``order_count`` it has ``customer_order_count`` too, so that the features need not move the rows by customer.
     With ``columns`` the rows are the same, but only these columns are moved through the joins, stored and filled.
     """
-    df = merged_orders(t, as_of, counts, order_count)
-    if columns is not None:
-        df = df.select(*columns)
+    df = merged_orders(t, as_of, counts, order_count, columns)
     filled = fill_by_type(df, [c for c in df.columns if c not in _ALWAYS_SET])
     return counts.watch(filled, dataset_rows=F.count("*")) if counts else filled
 
