@@ -14,24 +14,38 @@ from basketry.operators.ordered import group_mode
 from basketry.operators.quantile import attach_row, median, quantiles
 from basketry.operators.stats import box_stats, correlations
 from basketry.plans import facts
-from basketry.plans.modeling import suffixed
+from basketry.plans.modeling import active_sessions, suffixed
 
 
-def eda_dataset(t: Mapping[str, DataFrame]) -> DataFrame:
-    """All orders with items, their value, main category, profile and session."""
+def eda_dataset(t: Mapping[str, DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
+    """All orders with items, their value, main category, profile and session.
+
+    The profile is joined to the customers, and the activity to the pairs of order and session, so that the wide
+    rows move by order only. ``columns`` leaves only these; without one of the category, the lines need not move
+    for it.
+    """
     values = facts.order_value(t["items"], with_mean=True)
-    named = t["items"].join(t["products"], "product_id")
-    category = group_mode(named, ["order_id"], "product_category_name", "product_category_name")
     people = t["customers"].select("customer_id", "customer_unique_id", "customer_state")
     profile = t["profile"].withColumnRenamed("customer_id", "customer_id_profile")
-    sessions = t["sessions"]
-    df = (t["orders"].join(values, "order_id").join(category, "order_id", "left")
-          .join(people, "customer_id")
-          .join(t["category_translation"], "product_category_name", "left")
-          .join(profile, F.col("customer_unique_id") == F.col("customer_id_profile")))
-    df = df.join(suffixed(sessions, [c for c in df.columns if c != "order_id"], "_session"), "order_id")
-    df = df.join(facts.session_activity(t["session_activity"]).drop("n_add_to_cart"), "session_id", "left")
-    return df.withColumn("session_duration_min", minutes_between("session_start", "session_end"))
+    known = people.join(profile, F.col("customer_unique_id") == F.col("customer_id_profile"))
+    translation = t["category_translation"]
+    named = columns is None or bool({"product_category_name", *translation.columns} & set(columns))
+    df = t["orders"].join(known, "customer_id").join(values, "order_id")
+    if named:
+        lines = t["items"].join(t["products"], "product_id")
+        category = group_mode(lines, ["order_id"], "product_category_name", "product_category_name")
+        df = df.join(category, "order_id", "left")
+    taken = [c for c in (*df.columns, *(translation.columns if named else ())) if c != "order_id"]
+    sessions = active_sessions(suffixed(t["sessions"], taken, "_session"), t["session_activity"])
+    sessions = sessions.withColumn("session_duration_min", minutes_between("session_start", "session_end"))
+    df = df.join(sessions.drop("n_add_to_cart"), "order_id")
+    if named:  # last, as it has another key than the rest
+        df = df.join(translation, "product_category_name", "left")
+    order = ["session_id", "order_id", "product_category_name", *t["orders"].columns, *values.columns, *people.columns,
+             *translation.columns, *profile.columns, *sessions.columns]
+    if columns is None:
+        columns = [c for c in dict.fromkeys(order) if c not in ("session_duration_min", "n_add_to_cart")] + ["session_duration_min"]
+    return df.select(*columns)
 
 
 def delivered(df: DataFrame) -> DataFrame:

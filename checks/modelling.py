@@ -446,10 +446,16 @@ def _(t):
     return one_feature(t, lambda df: models.lasso(tol=1e-9))
 
 
+_REQUEST_SOURCES = (
+    "order_id", "order_purchase_timestamp", "monthly_income", "household_size", "loyalty_tier", "gender", "preferred_device",
+    "device_type", "traffic_source", "coupon_applied", "session_duration_min", "item_count", "n_events", "n_product_views",
+    "n_searches", "total_cart_qty", "avg_scroll", "avg_page_duration")
+
+
 def requests(t):
     """Scoring requests derived from the analysis dataset; some break the accepted ranges."""
-    df = eda.eda_dataset(t)
     at = F.col("order_purchase_timestamp")
+    df = eda.eda_dataset(t, _REQUEST_SOURCES)
     return df.select(
         "order_id", "monthly_income", "household_size", "loyalty_tier", "gender", "preferred_device",
         "device_type", "traffic_source", F.col("coupon_applied").cast("double").alias("coupon_applied"),
@@ -458,12 +464,13 @@ def requests(t):
         "avg_scroll", "avg_page_duration", F.hour(at).alias("purchase_hour"), F.weekday(at).alias("purchase_dow"))
 
 
-def request_model(t):
-    """Preprocessor and linear model trained on rows shaped like scoring requests."""
-    rows = cut_lineage(scoring.request_features(requests(t)).join(
-        t["orders"].select("order_id", "order_purchase_timestamp"), "order_id").join(
-        facts.order_value(facts.dedup_items(t["items"])).select(
-            "order_id", F.log1p("order_value").alias("target_log")), "order_id"))
+def request_model(t, asked=None):
+    """Preprocessor and linear model trained on rows shaped like scoring requests, or on these."""
+    asked = requests(t) if asked is None else asked
+    values = facts.order_value(facts.dedup_items(t["items"].drop("shipping_limit_date")))
+    known = t["orders"].select("order_id", "order_purchase_timestamp").join(
+        values.select("order_id", F.log1p("order_value").alias("target_log")), "order_id")
+    rows = cut_lineage(scoring.request_features(asked.join(known, "order_id")))
     pre = features.fit_preprocessor(rows, SPLIT)
     columns = pre.feature_names
     train, _ = time_split(rows, "order_purchase_timestamp", SPLIT)
@@ -473,8 +480,9 @@ def request_model(t):
 
 @query("score_orders")
 def _(t):
-    pre, fitted = request_model(t)
-    scored, rejected = scoring.score_orders(requests(t), "order_id", pre, fitted)
+    asked = cut_lineage(requests(t))  # trained on and scored
+    pre, fitted = request_model(t, asked)
+    scored, rejected = scoring.score_orders(asked, "order_id", pre, fitted)
     return scored.withColumn("violations", F.lit("")).unionByName(
         rejected.select("order_id", F.array_join("violations", ",").alias("violations")), allowMissingColumns=True)
 
