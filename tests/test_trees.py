@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry import fixed_values as fv
 from basketry.operators import trees
 from basketry.plans import models, scoring
+from checks import boosting
 
 
 @pytest.fixture(scope="module")
@@ -79,6 +80,26 @@ def test_equals_growing_leaf_by_leaf(rows, s, monkeypatch):
     assert all(sum(c < 0 for c in t.column) <= s.leaves for t in ensemble.trees)
 
 
+@pytest.mark.parametrize("s", [
+    trees.Settings(rounds=6, rate=0.4, depth=5, leaves=7, least_rows=12, l1=1.0, l2=0.5, row_share=0.7, column_share=0.8),
+    trees.Settings(rounds=6, rate=0.3, depth=4, leaves=100, least_rows=5, row_share=0.8, loss="absolute")])
+def test_one_task_grows_the_same_trees(rows, s, monkeypatch):
+    table, names, x, _ = rows
+    table = table.withColumns({"f5": (F.col("f0") > 3).cast("double"), "f6": F.randn(3)})
+    names = [*names, "f5", "f6"]
+    monkeypatch.setattr(trees, "GATHERED", 400)
+    own = trees.boost(table, names, "target_log", "order_id", s)
+    monkeypatch.setattr(trees, "FEW", 10)
+    apart = trees.boost(table, names, "target_log", "order_id", s)
+    for name, value in (("ONE_TASK_CELLS", 0), ("TREES_PER_COPY", 2), ("FAN_IN", 2), ("COLUMNS_AT_ONCE", 2)):
+        monkeypatch.setattr(trees, name, value)
+    for one, other in ((own, apart), (own, trees.boost(table, names, "target_log", "order_id", s))):
+        assert one.base == other.base and len(one.trees) == len(other.trees) == s.rounds
+        for a, b in zip(one.trees, other.trees):
+            assert (a.column, a.bin, a.left, a.right, a.rows) == (b.column, b.bin, b.left, b.right, b.rows)
+            assert np.allclose(a.value, b.value, atol=1e-12)
+
+
 def test_shares_of_rows_and_columns(rows):
     table, names, _, _ = rows
     s = trees.Settings(rounds=3, depth=2, row_share=0.5, column_share=0.4)
@@ -154,3 +175,13 @@ def test_odd_features_and_labels(spark):
         trees.boost(table.limit(0), ["a"], "target_log", "order_id")
     with pytest.raises(ValueError):
         trees.Settings(loss="huber")
+
+
+def test_queries_boost_all_rounds(rows, monkeypatch):
+    table, names, _, _ = rows
+    seen = []
+    monkeypatch.setattr(boosting, "split_matrix", lambda t: (table, table, names))
+    monkeypatch.setattr(models.trees, "boost", lambda df, columns, label, key, settings: seen.append(settings) or trees.Ensemble(
+        list(columns), 0.0, []))
+    boosting.boosted_metrics(None)
+    assert [(s.rounds, s.loss) for s in seen] == [(300, "absolute")]
