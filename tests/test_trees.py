@@ -184,4 +184,5 @@ def test_queries_boost_all_rounds(rows, monkeypatch):
     monkeypatch.setattr(models.trees, "boost", lambda df, columns, label, key, settings: seen.append(settings) or trees.Ensemble(
         list(columns), 0.0, []))
     boosting.boosted_metrics(None)
-    assert [(s.rounds, s.loss) for s in seen] == [(300, "absolute")]
+    boosting.tuned_metrics(None)
+    assert [(s.rounds, s.loss) for s in seen] == [(300, "absolute"), (fv.TUNED_TREES["rounds"], "squared")]
