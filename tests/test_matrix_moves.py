@@ -7,6 +7,7 @@ from basketry import job
 from basketry.operators import gram
 from basketry.plans import facts, features, modeling
 from basketry.session import configure
+from checks import linear
 from checks.registry import Tables
 
 
@@ -48,3 +49,14 @@ def test_moments_read_bare_numbers(spark):
     found = gram.moments(df, ["a", "b"])[0]
     assert found.n == 4 and np.allclose(found.mean, [0.25, 0.5])
     assert "isnan" not in plan_of(df.select(*gram._numbers(["a", "b"]))).lower()
+
+
+def test_models_ask_the_dataset_for_what_the_matrix_reads(spark, data, monkeypatch):
+    asked, build = [], linear.modeling_dataset
+    monkeypatch.setattr(linear, "modeling_dataset", lambda t, **options: asked.append(build(t, **options)) or asked[-1])
+    matrix, columns, _ = linear.full_matrix(Tables(configure(spark), data))
+    assert set(asked[0].columns) <= set(features.matrix_sources(["order_id"]))
+    want = job.training_matrix(build(Tables(configure(spark), data), order_count=True), linear.SPLIT)
+    assert columns == want[2] and matrix.columns == want[1].columns
+    rounded = [[r[0], *(round(float(x), 6) for x in r[2:])] for r in matrix.orderBy("order_id").collect()]
+    assert np.allclose(rounded, [[r[0], *map(float, r[2:])] for r in want[1].orderBy("order_id").collect()], atol=1e-5)
